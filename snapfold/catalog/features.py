@@ -1,0 +1,276 @@
+"""Imputation, indexing, one-hot, assembly, scaling, and splits."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from snapfold.catalog.registry import query, table
+from snapfold.ml.features import (
+    ColumnDropper,
+    FeatureTypeCaster,
+    PositionCaster,
+    check_categories,
+    export_features,
+    fit_features,
+)
+from snapfold.operators import frequency_index, hash_split, impute_median, with_fold
+from snapfold.schema import FeatureRoles
+
+# md5(seed:key) as used by hash_split and with_fold, in SQL.
+
+
+def hash_sql(key: str, seed: int = 42) -> str:
+    return f"CAST('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8) AS BIGINT)"
+
+
+def split_sql(key: str) -> str:
+    # 0.8, 0.9 of 2**32
+    return f"""CASE WHEN {hash_sql(key)} < 3435973837 THEN 'train'
+                    WHEN {hash_sql(key)} < 3865470566 THEN 'val' ELSE 'test' END"""
+
+
+_MEASURES = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def _with_gaps(spark, sf_dir):
+    """Events with every fifth value missing."""
+    value = F.when(F.col("event_id") % 5 != 0, F.col("value"))
+    return table(spark, sf_dir, "events").select("event_id", value.alias("value"))
+
+
+@query(
+    "median_impute",
+    """WITH gaps AS (SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN value END AS value FROM events)
+       SELECT event_id, coalesce(value, (SELECT quantile_disc(value, 0.5) FROM gaps)) AS value FROM gaps""",
+)
+def median_impute(spark, sf_dir):
+    return impute_median(_with_gaps(spark, sf_dir), ["value"])
+
+
+def _kinds(spark, sf_dir):
+    """Events with one type made null, so that the index has an unknown category to place."""
+    return table(spark, sf_dir, "events").select(
+        "event_id", F.nullif("event_type", F.lit("error")).alias("kind")
+    )
+
+
+_INDEX_SQL = """WITH kinds AS (SELECT event_id, nullif(event_type, 'error') AS kind FROM events),
+  counts AS (SELECT kind, count(*) AS n FROM kinds WHERE kind IS NOT NULL GROUP BY kind),
+  labels AS (SELECT kind, CAST(row_number() OVER (ORDER BY n DESC, kind) - 1 AS DOUBLE) AS idx FROM counts),
+  indexed AS (SELECT k.event_id, k.kind,
+    coalesce(l.idx, (SELECT CAST(count(*) AS DOUBLE) FROM labels)) AS kind_index
+  FROM kinds k LEFT JOIN labels l ON k.kind = l.kind) """
+
+
+@query("frequency_index", _INDEX_SQL + "SELECT event_id, kind, kind_index FROM indexed")
+def frequency_index_query(spark, sf_dir):
+    return frequency_index(_kinds(spark, sf_dir), "kind", "kind_index")
+
+
+@query(
+    "frequency_index_large",
+    """WITH counts AS (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey),
+         labels AS (SELECT l_partkey, row_number() OVER (ORDER BY n DESC, l_partkey) - 1 AS idx FROM counts)
+       SELECT i.l_orderkey, i.l_linenumber, i.l_partkey, CAST(l.idx AS DOUBLE) AS part_index
+       FROM lineitem i JOIN labels l ON i.l_partkey = l.l_partkey""",
+)
+def frequency_index_large(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return frequency_index(items, "l_partkey", "part_index")
+
+
+@query(
+    "one_hot",
+    _INDEX_SQL
+    + """SELECT event_id, CAST(kind_index = 0 AS DOUBLE) AS is_0, CAST(kind_index = 1 AS DOUBLE) AS is_1,
+                CAST(kind_index = 2 AS DOUBLE) AS is_2, CAST(kind_index = 3 AS DOUBLE) AS is_3 FROM indexed""",
+)
+def one_hot(spark, sf_dir):
+    kinds = _kinds(spark, sf_dir)
+    check_categories(kinds, ["kind"])
+    stages = [
+        StringIndexer(inputCols=["kind"], outputCols=["kind_index"], handleInvalid="keep"),
+        OneHotEncoder(inputCols=["kind_index"], outputCols=["kind_encoded"]),
+    ]
+    encoded = Pipeline(stages=stages).fit(kinds).transform(kinds)
+    flags = encoded.select("event_id", vector_to_array("kind_encoded").alias("f"))
+    return flags.select("event_id", *[F.col("f")[i].alias(f"is_{i}") for i in range(4)])
+
+
+@query(
+    "assemble_features",
+    "SELECT l_orderkey, l_linenumber, l_quantity AS f0, l_extendedprice AS f1, l_discount AS f2 FROM lineitem",
+)
+def assemble_features(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *_MEASURES)
+    vectors = VectorAssembler(inputCols=_MEASURES, outputCol="v", handleInvalid="error").transform(items)
+    arrays = vectors.select("l_orderkey", "l_linenumber", vector_to_array("v").alias("f"))
+    return arrays.select("l_orderkey", "l_linenumber", *[F.col("f")[i].alias(f"f{i}") for i in range(3)])
+
+
+def _scaled(spark, sf_dir, rows, fit_rows):
+    stages = [
+        VectorAssembler(inputCols=_MEASURES, outputCol="v"),
+        StandardScaler(inputCol="v", outputCol="scaled"),
+    ]
+    return Pipeline(stages=stages).fit(fit_rows).transform(rows).withColumn("f", vector_to_array("scaled"))
+
+
+def _scaled_sql(source: str, fit_source: str, extra: str = "") -> str:
+    return f"""SELECT l_orderkey, l_linenumber{extra}, {', '.join(
+        f'round({c} / (SELECT stddev_samp({c}) FROM {fit_source}), 6) AS f{i}' for i, c in enumerate(_MEASURES)
+    )} FROM {source}"""
+
+
+@query("standard_scale", _scaled_sql("lineitem", "lineitem"))
+def standard_scale(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *_MEASURES)
+    scaled = _scaled(spark, sf_dir, items, items)
+    return scaled.select("l_orderkey", "l_linenumber", *[F.round(F.col("f")[i], 6).alias(f"f{i}") for i in range(3)])
+
+
+@query(
+    "split_then_scale",
+    f"WITH tagged AS (SELECT *, {split_sql('l_orderkey')} AS split FROM lineitem), "
+    "train AS (SELECT * FROM tagged WHERE split = 'train') " + _scaled_sql("tagged", "train", ", split"),
+)
+def split_then_scale(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *_MEASURES)
+    tagged = hash_split(items, ["l_orderkey"])
+    scaled = _scaled(spark, sf_dir, tagged, tagged.where(F.col("split") == "train"))
+    return scaled.select(
+        "l_orderkey", "l_linenumber", "split", *[F.round(F.col("f")[i], 6).alias(f"f{i}") for i in range(3)]
+    )
+
+
+@query(
+    "exclude_columns",
+    """SELECT round(corr(l_quantity, l_extendedprice), 6) AS quantity_price,
+              round(corr(l_quantity, l_discount), 6) AS quantity_discount,
+              round(corr(l_extendedprice, l_discount), 6) AS price_discount FROM lineitem""",
+)
+def exclude_columns(spark, sf_dir):
+    """The correlations that an exclusion list rests on, all in one pass."""
+    pair = {"quantity": "l_quantity", "price": "l_extendedprice", "discount": "l_discount"}
+    pairs = [("quantity", "price"), ("quantity", "discount"), ("price", "discount")]
+    return table(spark, sf_dir, "lineitem").agg(
+        *[F.round(F.corr(pair[a], pair[b]), 6).alias(f"{a}_{b}") for a, b in pairs]
+    )
+
+
+@query("hash_split", f"SELECT o_orderkey, {split_sql('o_orderkey')} AS split FROM orders")
+def hash_split_query(spark, sf_dir):
+    return hash_split(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])
+
+
+@query(
+    "entity_split",
+    f"SELECT o_orderkey, o_custkey, {split_sql('o_custkey')} AS split FROM orders",
+)
+def entity_split(spark, sf_dir):
+    """All rows of an entity in one split."""
+    return hash_split(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), ["o_custkey"])
+
+
+@query(
+    "hash_fold",
+    f"SELECT o_orderkey, CAST({hash_sql('o_orderkey', 7)} % 4 AS INTEGER) AS fold FROM orders",
+)
+def hash_fold(spark, sf_dir):
+    return with_fold(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])
+
+
+def order_roles() -> FeatureRoles:
+    return FeatureRoles(
+        continuous=["price", "day"],
+        nominal=["o_orderstatus"],
+        ordinal=["month"],
+        modified=["o_orderpriority"],
+        imputed=["price"],
+        excluded=["day"],
+        dropped=["o_custkey"],
+    )
+
+
+def order_snapshot(spark, sf_dir):
+    """Orders with a rating text, a price with gaps, and a label that follows from both."""
+    price = F.when(F.col("o_orderkey") % 10 != 0, F.col("o_totalprice"))
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderpriority",
+        "o_orderstatus",
+        price.alias("price"),
+        F.dayofmonth("o_orderdate").alias("day"),
+        F.month("o_orderdate").alias("month"),
+        (F.substring("o_orderpriority", 1, 1).cast("double") * 10 + F.month("o_orderdate")).alias("overall"),
+    )
+
+
+_STAGES_SQL = f"""WITH rows AS (
+    SELECT o_orderkey, CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS rating, o_orderstatus AS kind,
+           CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS price,
+           CAST(month(o_orderdate) AS DOUBLE) AS month, {split_sql('o_orderkey')} AS split FROM orders),
+  labels AS (
+    SELECT kind, row_number() OVER (ORDER BY n DESC, kind) - 1 AS idx
+    FROM (SELECT kind, count(*) AS n FROM rows WHERE split = 'train' GROUP BY kind)),
+  wide AS (
+    SELECT r.o_orderkey, r.rating * 10 + r.month AS overall, r.split,
+           coalesce(r.price, (SELECT quantile_disc(price, 0.5) FROM rows WHERE split = 'train')) AS price,
+           CAST(l.idx = 0 AS DOUBLE) AS k0, CAST(l.idx = 1 AS DOUBLE) AS k1, CAST(l.idx = 2 AS DOUBLE) AS k2,
+           r.month, r.rating
+    FROM rows r JOIN labels l ON r.kind = l.kind),
+  train AS (SELECT * FROM wide WHERE split = 'train')
+  SELECT o_orderkey, overall, split, {', '.join(
+      f'round({c} / (SELECT stddev_samp({c}) FROM train), 6) AS f{i}'
+      for i, c in enumerate(['price', 'k0', 'k1', 'k2', 'month', 'rating'])
+  )} FROM wide"""
+
+
+@query("feature_stages", _STAGES_SQL)
+def feature_stages_query(spark, sf_dir):
+    """All eight stages, fitted on the training rows; the vector's values as columns."""
+    rows = hash_split(order_snapshot(spark, sf_dir), ["o_orderkey"])
+    # The sketch's error is set below one rank in a million, so that the median is an exact one here.
+    out = fit_features(rows, order_roles(), median_error=1e-7).transform(rows)
+    arrays = out.withColumn("f", vector_to_array("features"))
+    return arrays.select(
+        "o_orderkey", "overall", "split", *[F.round(F.col("f")[i], 6).alias(f"f{i}") for i in range(6)]
+    )
+
+
+@query(
+    "custom_transformers",
+    """SELECT o_orderkey, CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS o_orderpriority,
+              CAST(month(o_orderdate) AS DOUBLE) AS month FROM orders""",
+)
+def custom_transformers(spark, sf_dir):
+    rows = order_snapshot(spark, sf_dir).select("o_orderkey", "o_orderpriority", "o_orderstatus", "month")
+    for stage in (
+        PositionCaster(inputCols=["o_orderpriority"]),
+        FeatureTypeCaster(inputCols=["month"]),
+        ColumnDropper(columnsToDrop=["o_orderstatus", "not_there"]),
+    ):
+        rows = stage.transform(rows)
+    return rows
+
+
+@query(
+    "feature_export",
+    """SELECT CAST(CAST(p_size AS FLOAT) AS DOUBLE) AS f0, CAST(CAST(p_retailprice AS FLOAT) AS DOUBLE) AS f1,
+              CAST(CAST(p_partkey AS FLOAT) AS DOUBLE) AS label
+       FROM part WHERE p_partkey % 7 <> 0""",
+)
+def feature_export(spark, sf_dir):
+    label = F.when(F.col("p_partkey") % 7 != 0, F.col("p_partkey"))
+    parts = table(spark, sf_dir, "part").select("p_size", "p_retailprice", label.alias("label"))
+    vectors = VectorAssembler(inputCols=["p_size", "p_retailprice"], outputCol="features").transform(parts)
+    arrays = export_features(vectors, "label")
+    return arrays.select(
+        F.col("features")[0].cast("double").alias("f0"),
+        F.col("features")[1].cast("double").alias("f1"),
+        F.col("label").cast("double").alias("label"),
+    )

@@ -1,0 +1,18 @@
+from snapfold.ml.evaluation import metric_report
+from snapfold.ml.features import export_features, feature_stages, fit_features
+from snapfold.ml.mlp import MLPRegressionModel, MLPRegressor, deep_mlp, fit_grid, shallow_mlp
+from snapfold.ml.tuning import cross_validate, param_grid
+
+__all__ = [
+    "MLPRegressionModel",
+    "MLPRegressor",
+    "cross_validate",
+    "deep_mlp",
+    "export_features",
+    "feature_stages",
+    "fit_features",
+    "fit_grid",
+    "metric_report",
+    "param_grid",
+    "shallow_mlp",
+]

@@ -41,11 +41,14 @@ def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
 
 
 def read_text_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """CSV files of one header, all columns as text: no pass over the data to guess types."""
+    """CSV files of one header, all columns as text: no pass over the data to guess types.
+
+    A file whose header differs is refused: its values would land under the wrong names.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
     names = columns or _header(spark, paths[0])
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    return spark.read.schema(schema).csv(paths, header=True)
+    return spark.read.schema(schema).csv(paths, header=True, enforceSchema=False)
 
 
 def _tag(value: int | str) -> Column:
