@@ -10,30 +10,49 @@ from pyspark.sql import functions as F
 # Texts that mean "missing" in numeric source columns (exact, case-sensitive).
 NULL_TOKENS = ("NULL", "", " ", "NaN")
 
+# A cast that fails inside try_cast() raises and catches an exception, some thirty times the price of a
+# good one, so texts of the wrong shape are sorted out before. A cast ignores blanks at both ends.
+_BLANK = r"[\s\p{Cntrl}]*"
+_INTEGER = rf"^{_BLANK}[+-]?[0-9]+{_BLANK}$"
+_DECIMAL = rf"^{_BLANK}([+-]?)([0-9]*)[.][0-9]*{_BLANK}$"
+_NUMBER_START = rf"^{_BLANK}[+-]?([0-9.]|(?i:inf|nan))"
+
 
 def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _is_value(c: Column, tokens: Sequence[str]) -> Column:
+    # isin() on a typed column would cast the tokens to its type and fail, hence the string.
+    return ~F.coalesce(c.cast("string").isin(*tokens), F.lit(False))
+
+
 def null_tokens(c: Column | str, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     """Null where the text is one of ``tokens``, the value itself otherwise."""
     c = _column(c)
-    # isin() on a typed column would cast the tokens to its type and fail, hence the string.
-    return F.when(~F.coalesce(c.cast("string").isin(*tokens), F.lit(False)), c)
+    return F.when(_is_value(c, tokens), c)
+
+
+def text_to_double(c: Column) -> Column:
+    """``try_cast`` of a text to double that is also quick where the text is no number."""
+    return F.when(c.rlike(_NUMBER_START), c.try_cast("double"))
 
 
 def safe_double(c: Column | str, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     """Double value of a text; null for a token or anything that is no number."""
-    return null_tokens(c, tokens).try_cast("double")
+    c = _column(c)
+    return F.when(_is_value(c, tokens), text_to_double(c.cast("string")))
 
 
 def safe_int(c: Column | str, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     """Integer value of a text; a decimal fraction is cut off, overflow and non-numbers give null."""
-    text = null_tokens(c, tokens).cast("string")
+    c = _column(c)
+    text = c.cast("string")
     # try_cast('12.9' as int) is null, so the fraction goes first. A leading 0 keeps '.5' a number.
-    # Exponents are left alone on purpose: '1e3' is no integer text.
-    whole = F.regexp_replace(text, r"^[\s\p{Cntrl}]*([+-]?)([0-9]*)[.][0-9]*[\s\p{Cntrl}]*$", "$10$2")
-    return F.when(F.contains(text, F.lit(".")), whole).otherwise(text).try_cast("int")
+    # Exponents are left alone: '1e3' is no integer text.
+    whole = F.regexp_replace(text, _DECIMAL, "$10$2")
+    value = F.when(text.rlike(_INTEGER), text.try_cast("int")).when(text.rlike(_DECIMAL), whole.try_cast("int"))
+    return F.when(_is_value(c, tokens), value)
 
 
 def lenient_date(c: Column | str) -> Column:
@@ -45,4 +64,4 @@ def strip_modifier(c: Column | str) -> Column:
     """Base rating of texts such as ``89+3`` or ``62-1``: all before the first sign, as a double."""
     text = _column(c).cast("string")
     base = F.substring_index(F.substring_index(text, "+", 1), "-", 1)
-    return base.try_cast("double")
+    return text_to_double(base)
