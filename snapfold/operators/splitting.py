@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapfold.functions.hashing import hash32, hash_bucket
+from snapfold.functions.hashing import hash_bucket, key_digest
 
 DEFAULT_SPLIT = {"train": 0.8, "val": 0.1, "test": 0.1}
 
@@ -26,16 +26,17 @@ def hash_split(
     """
     if not weights or any(w < 0 for w in weights.values()) or sum(weights.values()) <= 0:
         raise ValueError("weights must be non-negative and not all zero.")
-    total = sum(weights.values())
-    place = hash32(*keys, seed=seed)
-    names = list(weights)
-    tag, reached = F.lit(names[-1]), 0.0
-    cuts = []
+    total, names = sum(weights.values()), list(weights)
+    place = key_digest(*keys, seed=seed)
+    reached, cuts = 0.0, []
     for part in names[:-1]:
         reached += weights[part]
         cuts.append((part, round(reached / total * (1 << 32))))
+    tag = F.lit(names[-1])
     for part, cut in reversed(cuts):
-        tag = F.when(place < cut, F.lit(part)).otherwise(tag)
+        # Hex digits of one width sort as their numbers do, so the digest need not become a number.
+        under = place < F.lit(f"{cut:08x}") if cut < 1 << 32 else F.lit(True)
+        tag = F.when(under, F.lit(part)).otherwise(tag)
     return df.withColumn(name, tag)
 
 
