@@ -70,6 +70,8 @@ def test_ingest_twice_is_ingest_once(spark, files):
     once = rows(read_table(spark, path), "id")
     ingest(spark, files, path, casts)
     assert rows(read_table(spark, path), "id") == once
+    ingest(spark, files, path, casts, compact=True)
+    assert rows(read_table(spark, path), "id") == once
     ingest(spark, files[1:], path, casts, reset=False)  # only the partition of 2016 is replaced
     assert rows(read_table(spark, path), "id") == once
     table = read_table(spark, path)
