@@ -16,12 +16,13 @@ def global_index(df: DataFrame, order: Sequence[Column], name: str = "index") ->
     """Number all rows 0, 1, 2, ... in ``order`` without drawing them into one task.
 
     A range sort, written to the checkpoint folder so that a lost executor cannot renumber it; then
-    each partition's first number is added, from one tiny row per partition.
+    each partition's first number is added, from one tiny row per partition. Rows equal by ``order``
+    are told apart by their other columns, so that a frequent value is spread over several tasks.
     """
     ready_for_checkpoint(df.sparkSession)
     spot = F.monotonically_increasing_id()
     placed = (
-        df.orderBy(*order)
+        df.orderBy(*order, *df.columns)
         .withColumn("_spot", spot)
         .withColumn("_part", F.shiftright("_spot", _ROW_BITS))
         .withColumn("_nth", F.col("_spot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))

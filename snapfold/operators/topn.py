@@ -25,6 +25,8 @@ def top_n_with_ties(
 ) -> DataFrame:
     """Rows whose ``value`` is among the ``n`` highest (lowest), all ties at the cut kept, sorted.
 
+    Equal values come in order of ``tie_break``, by default all other columns: a sort that told ties
+    not apart would put them all into one task.
     The cut is a one-row scalar subquery, so every task filters its own rows and ties of any number
     stay spread out. Where ``df`` is an aggregate, both readers share one shuffle (ReusedExchange).
     ``settle`` writes ``df`` to the checkpoint folder first: needed where ``value`` sums doubles, as
@@ -42,7 +44,7 @@ def top_n_with_ties(
         order, edge = F.col(value).asc(), F.max(value)
     cut = rows.select(value).orderBy(order).limit(n).agg(edge.alias("cut")).scalar()
     kept = rows.where(F.col(value) >= cut if highest else F.col(value) <= cut)
-    return kept.orderBy(order, *tie_break)
+    return kept.orderBy(order, *(tie_break or [c for c in df.columns if c != value]))
 
 
 def top_per_group(

@@ -140,6 +140,33 @@ def test_frequency_index_places_null_and_unseen_last(spark):
     assert found == {"a": 0.0, "b": 1.0, "c": 2.0, "zzz": 3.0, None: 3.0}
 
 
+def test_frequency_index_without_a_broadcast(spark):
+    # A third of the rows hold one category, a third hold none, the others a category each.
+    df = spark.range(0, 9000).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k")
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = frequency_index(df, "k", "i")
+        assert "SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()
+        sizes = found.groupBy("k").agg(F.count("*").alias("n"), F.max("i").alias("i")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    by_key = {r["k"]: (r["n"], r["i"]) for r in sizes}
+    assert by_key["hot"] == (3000, 0.0) and by_key[None] == (3000, 3001.0)
+    others = sorted((k for k in by_key if k not in ("hot", None)))
+    assert [by_key[k] for k in others] == [(1, float(i + 1)) for i in range(3000)]
+
+
+def test_global_index_spreads_ties(spark):
+    df = spark.range(0, 4000, 1, 8).select(F.lit(1).alias("v"), "id")
+    indexed = global_index(df, [F.asc("v")])
+    assert sorted(r["index"] for r in indexed.collect()) == list(range(4000))
+    assert indexed.select(F.spark_partition_id()).distinct().count() > 1
+
+
 @settings(max_examples=8, **ANY_SPARK)
 @given(st.lists(st.one_of(st.none(), st.integers(0, 30).map(float), st.just(float("nan"))), min_size=1, max_size=300))
 def test_exact_median_against_sorting(spark, values):
