@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -12,9 +13,9 @@ NULL_TOKENS = ("NULL", "", " ", "NaN")
 
 # A cast that fails inside try_cast() raises and catches an exception, some thirty times the price of a
 # good one, so texts of the wrong shape are sorted out before. A cast ignores blanks at both ends.
-_BLANK = r"[\s\p{Cntrl}]*"
-_INTEGER = rf"^{_BLANK}[+-]?[0-9]+{_BLANK}$"
-_DECIMAL = rf"^{_BLANK}([+-]?)([0-9]*)[.][0-9]*{_BLANK}$"
+_BLANK = r"[\s\x00-\x1f\x7f]*"
+_NUMBER = rf"^{_BLANK}[+-]?[0-9]+([.][0-9]*)?{_BLANK}$"
+_FRACTION = rf"^{_BLANK}[+-]?[.][0-9]*{_BLANK}$"
 _NUMBER_START = rf"^{_BLANK}[+-]?([0-9.]|(?i:inf|nan))"
 
 
@@ -27,6 +28,10 @@ def _is_value(c: Column, tokens: Sequence[str]) -> Column:
     return ~F.coalesce(c.cast("string").isin(*tokens), F.lit(False))
 
 
+def _unless_token(c: Column, tokens: Sequence[str], value: Column) -> Column:
+    return F.when(_is_value(c, tokens), value) if tokens else value
+
+
 def null_tokens(c: Column | str, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     """Null where the text is one of ``tokens``, the value itself otherwise."""
     c = _column(c)
@@ -41,18 +46,22 @@ def text_to_double(c: Column) -> Column:
 def safe_double(c: Column | str, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     """Double value of a text; null for a token or anything that is no number."""
     c = _column(c)
-    return F.when(_is_value(c, tokens), text_to_double(c.cast("string")))
+    # A token that is no number gives null as it is, and need not be looked for.
+    numeric = [t for t in tokens if re.match(_NUMBER_START, t)]
+    return _unless_token(c, numeric, text_to_double(c.cast("string")))
 
 
 def safe_int(c: Column | str, tokens: Sequence[str] = NULL_TOKENS) -> Column:
-    """Integer value of a text; a decimal fraction is cut off, overflow and non-numbers give null."""
+    """Integer value of a text; a decimal fraction is cut off, overflow and non-numbers give null.
+
+    Exponents are not taken: ``1e3`` is no integer text.
+    """
     c = _column(c)
     text = c.cast("string")
-    # try_cast('12.9' as int) is null, so the fraction goes first. A leading 0 keeps '.5' a number.
-    # Exponents are left alone: '1e3' is no integer text.
-    whole = F.regexp_replace(text, _DECIMAL, "$10$2")
-    value = F.when(text.rlike(_INTEGER), text.try_cast("int")).when(text.rlike(_DECIMAL), whole.try_cast("int"))
-    return F.when(_is_value(c, tokens), value)
+    numeric = [t for t in tokens if re.match(_NUMBER, t) or re.match(_FRACTION, t)]
+    # try_cast('12.9' as int) is null, so it gets what is before the point.
+    value = F.when(text.rlike(_NUMBER), F.substring_index(text, ".", 1).try_cast("int"))
+    return _unless_token(c, numeric, value.when(text.rlike(_FRACTION), F.lit(0)))
 
 
 def lenient_date(c: Column | str) -> Column:

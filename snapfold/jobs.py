@@ -106,7 +106,9 @@ def main(argv: list[str] | None = None) -> None:
         if name.startswith("train"):
             job.add_argument("--out", required=True, help="folder for the training table and the models")
     args = parser.parse_args(argv)
-    args.run(SparkSession.builder.appName(f"snapfold-{args.job}").getOrCreate(), args)
+    builder = SparkSession.builder.appName(f"snapfold-{args.job}")
+    # HotSpot leaves methods over 8000 bytes uncompiled: wide projections do better in pieces.
+    args.run(builder.config("spark.sql.codegen.hugeMethodLimit", "8000").getOrCreate(), args)
 
 
 if __name__ == "__main__":

@@ -20,6 +20,8 @@ def local_session(app: str = "snapfold", cores: str = "*", **conf: str) -> Spark
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        # HotSpot leaves methods over 8000 bytes uncompiled: wide projections do better in pieces.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

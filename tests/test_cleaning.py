@@ -48,6 +48,11 @@ def test_null_tokens_match_exactly(spark):
     assert column(spark, ["?", "NULL"], null_tokens("v", ["?"])) == [None, "NULL"]
 
 
+def test_tokens_that_are_numbers(spark):
+    assert column(spark, ["-1", "0.0", "7", ".5"], safe_int("v", ["-1", ".5"])) == [None, 0, 7, None]
+    assert column(spark, ["-1", "0.0", "7", "NaN"], safe_double("v", ["-1", "NaN"])) == [None, 0.0, 7.0, None]
+
+
 def test_lenient_date(spark):
     day = datetime.date
     values = ["1987-06-24", "2018-07-01 00:00:00", "24/06/1987", "bad", "", None]
