@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "snapfold", cores: str = "*", **conf: str) -> SparkSession:
@@ -58,3 +58,12 @@ def ready_for_checkpoint(spark: SparkSession) -> None:
         folder = shared_folder(spark)
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(folder)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its source comes in fewer pieces, such as a file of one row group.
+
+    For work that costs more per row than moving the row. A table of many files stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
