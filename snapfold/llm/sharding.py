@@ -59,7 +59,8 @@ def shard(docs: DataFrame, scratch: Scratch, shards: int = 24, rounds: int = ROU
     rows = found.count()
     quota = rows // shards
     part = max(1, quota // 2)
-    groups = found.groupBy("digest").agg(F.count("*").alias("copies")).where("copies > 1")
+    # Written, so that a join with it can split a group that many rows share.
+    groups = scratch.save(found.groupBy("digest").agg(F.count("*").alias("copies")).where("copies > 1"))
     parts = F.ceil(F.col("copies") / part).cast("bigint")
     linked = found.join(groups, "digest").select("uid", F.xxhash64("digest", F.pmod(F.xxhash64("uid"), parts)).alias("cluster"), "label")
     linked = _propagate(scratch.save(linked), shards, quota, rounds, scratch)
