@@ -172,5 +172,6 @@ def compare_neighbours(docs: DataFrame, edit: EditedText = half_replaced) -> Dat
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=names)
-    return frame.assign(doc_id=frame["doc_id"].astype("Int64"))
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+    # Not by way of floats, which a null among the ids would make of them.
+    return pd.DataFrame({n: pd.array(c, "Int64") if n == "doc_id" else list(c) for n, c in zip(names, columns, strict=True)})

@@ -12,8 +12,8 @@ of a linked pair's emitted parts at least t = (the smaller number) - d agree. A
 Emitted parts go to buckets as packed arrays. A bucket counts, for every pair, the parts it shares in groups of up to HOT sets. A
 larger group, which copies or a passage of many documents make, is not expanded. Instead its sets learn how many of
 their parts are hot: a set with few of them is "calm" and shares a cool part with each partner, so its hot parts may go.
-The others are compared with the smallest set of each of their hot groups and then, in tiles, with the sets of
-other components only, by sketches of one bit a shingle first. So the components are those of all links.
+The others are compared with the set of each of their hot groups that has the most hot parts, and then, in tiles, with the sets of
+other components only, by their bit sketches first. So the components are those of all links.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from snapfold.llm.tables import Scratch, components, map_texts
 
 HOT, TILE = 64, 2048
 #: Bytes of text whose parts one bucket holds on average, and sets a task packs at a time.
-BUCKET_BYTES, PACKED = 32 << 20, 20_000
+BUCKET_BYTES, PACKED = 16 << 20, 8_000
 _SECOND, _POOR = 1, 2
 
 
@@ -69,8 +69,8 @@ def part_keys(shingles: np.ndarray, scheme: int) -> tuple[np.ndarray, bool]:
 
 
 def bit_sketch(shingles: np.ndarray) -> bytes:
-    """One bit a shingle, toggled; two to four bits for each, in powers of two, so that sizes compare by folding."""
-    bits = 64 << max(0, (len(shingles) - 1).bit_length() - 5)
+    """One bit a shingle, toggled; eight to sixteen bits for each, in powers of two, so that sizes compare by folding."""
+    bits = 64 << max(0, (len(shingles) - 1).bit_length() - 3)
     flags = np.bincount((shingles >> U(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(flags.astype(np.uint8), bitorder="little").tobytes()
 
@@ -184,14 +184,15 @@ def _agreeing(bucket: int, frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _hot_postings(posts: DataFrame, scratch: Scratch) -> DataFrame:
-    """(key, a, info) of the sets that cannot do without their hot parts, and of keys with a set that has too few parts."""
+    """(key, a, info, parts) of the sets that cannot do without their hot parts, and of keys with a set that has too few parts."""
     size = F.col("info").bitwiseAND(F.lit(-4)) / 4
     poor = F.col("info").bitwiseAND(F.lit(_POOR)) > 0
     restless = (F.col("parts") > F.floor(F.ceil(size * 0.75) / 6)) | poor
-    sets = posts.groupBy("a", "info").agg(F.count("*").alias("parts")).where(restless).select("a", "info")
+    sets = posts.groupBy("a", "info").agg(F.count("*").alias("parts")).where(restless)
     poor_keys = posts.where(poor).select("key").distinct()
-    kept = posts.join(sets, ["a", "info"]).select("key", "a", "info")
-    return scratch.save(kept.union(posts.join(poor_keys, "key", "left_semi").select("key", "a", "info")).distinct())
+    kept = posts.join(sets, ["a", "info"]).select("key", "a", "info", "parts")
+    extra = posts.join(poor_keys, "key", "left_semi").select("key", "a", "info", F.lit(0).cast("bigint").alias("parts"))
+    return scratch.save(kept.union(extra).groupBy("key", "a", "info").agg(F.max("parts").alias("parts")))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -263,7 +264,8 @@ def jaccard_components(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Da
         weak = weak.join(parts.select(F.col("a").alias(side), "parts"), side).where("parts >= need - times").drop("parts")
     hot = _hot_postings(posts, scratch)
     size = F.floor(F.col("info") / 4)
-    hubs = hot.groupBy("key").agg(F.min(F.struct("a", size.alias("n"))).alias("hub"))
+    # Of the sets of a group the one with the most hot parts: what the others are copies of has all of them.
+    hubs = hot.groupBy("key").agg(F.min(F.struct((-F.col("parts")).alias("rank"), "a", size.alias("n"))).alias("hub"))
     star = hot.join(hubs, "key").where((F.col("hub.a") != F.col("a")) & (F.least("hub.n", size) * 4 >= F.greatest("hub.n", size) * 3))
     star = star.select(F.col("hub.a").alias("x"), F.col("a").alias("y")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     pairs = scratch.save(pairs.where("times >= need").select("a", "b").union(weak.select("a", "b")).union(star).distinct())
