@@ -20,8 +20,6 @@ from snapfold.sources import (
     schema_report,
 )
 
-_ORDER_YEARS = range(1995, 2002)
-
 
 def _orders(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
@@ -59,7 +57,7 @@ def table_append_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "orders-append")
     orders = _orders(spark, sf_dir)
     append_table(orders.where(F.col("o_orderstatus") == "F"), path)
-    others = orders.where(F.col("o_orderstatus") != "F")
+    others = orders.where(~F.col("o_orderstatus").eqNullSafe("F"))
     append_table(others.select(*reversed(others.columns)), path)  # matched by name, not place
     return read_table(spark, path)
 
@@ -86,7 +84,7 @@ def _yearly_order_files(spark, sf_dir) -> list[FileEntry]:
     """Orders as one CSV folder per year; the odd years with their columns in another order."""
     path = fresh_path(spark, "orders-by-year")
     orders = table(spark, sf_dir, "orders").select(
-        F.year("o_orderdate").alias("y"),
+        F.coalesce(F.year("o_orderdate"), F.lit(0)).alias("y"),  # 0: without a date
         "o_orderkey",
         F.when(F.col("o_orderkey") % 5 == 0, "NULL").otherwise(F.col("o_custkey").cast("string")).alias("cust"),
         F.col("o_totalprice").cast("string").alias("price"),
@@ -99,7 +97,7 @@ def _yearly_order_files(spark, sf_dir) -> list[FileEntry]:
     swapped.write.partitionBy("y").csv(f"{path}/odd", header=True)
     return [
         FileEntry(f"{path}/{'odd' if year % 2 else 'even'}/y={year}", {"resource_year": year, "gender": "all"})
-        for year in _ORDER_YEARS
+        for (year,) in orders.select("y").distinct().orderBy("y").collect()
     ]
 
 

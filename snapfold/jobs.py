@@ -20,17 +20,20 @@ from snapfold.schema import GENDER_TAG, YEAR_TAG
 from snapfold.sources import JdbcConfig, jdbc_overwrite, jdbc_scan, read_table, sample_rows, snapshot_manifest
 
 ROW_KEYS = ["sofifa_id", YEAR_TAG, GENDER_TAG]
+# The columns a sample shows.
 SAMPLE_COLUMNS = ["short_name", "long_name", "age", "club_name", "nationality_name"]
 
 
 def _load(spark: SparkSession, args: argparse.Namespace):
-    """The table, from Parquet or, with --database, over JDBC by one connection per year and gender."""
+    """The table, from Parquet or, with --database, over JDBC by one connection per year and gender, and one for all other rows."""
     if not args.database:
         return read_table(spark, args.table)
     predicates = [
         f"{YEAR_TAG} = {entry.tags[YEAR_TAG]} AND {GENDER_TAG} = '{entry.tags[GENDER_TAG]}'"
         for entry in snapshot_manifest()
     ]
+    # Rows of other years or genders, or without them, are in none of the above.
+    predicates.append(f"CASE WHEN {' OR '.join(f'({p})' for p in predicates)} THEN 0 ELSE 1 END = 1")
     return jdbc_scan(spark, JdbcConfig.from_env(), args.table, predicates=predicates)
 
 
