@@ -114,6 +114,11 @@ def metric_report_query(spark, sf_dir):
     return _rounded_report(_ridge().fit(_train(parts)).transform(parts), "y")
 
 
+def judged(report, least):
+    """Rows of each split, and whether more than ``least`` of the label's variance is explained: facts that SQL can state."""
+    return report.select("split", "n", (F.col("r2") > least).alias("good"))
+
+
 _FIXED_SQL = "SELECT p_retailprice AS y, 900.0 + p_size * 2 AS p FROM part"
 
 
@@ -209,17 +214,26 @@ def _forest():
     )
 
 
-@query("random_forest")
+@query(
+    "random_forest", f"WITH {_PARTS_SQL} SELECT split, count(*) AS n, true AS good FROM parts GROUP BY split"
+)
 def random_forest(spark, sf_dir):
-    """A forest's metrics on each split."""
+    """Whether a forest explains 95 % of the variance of each split."""
     rows = _forest_rows(spark, sf_dir)
-    return _rounded_report(_forest().fit(_train(rows)).transform(rows), "p_retailprice")
+    return judged(metric_report(_forest().fit(_train(rows)).transform(rows), "p_retailprice"), 0.95)
 
 
-@query("random_forest_cv")
+@query(
+    "random_forest_cv",
+    f"""WITH {_PARTS_SQL} SELECT 0 AS point, CAST(20 AS DOUBLE) AS "numTrees", CAST(10 AS DOUBLE) AS "maxDepth",
+        true AS best, count(*) AS n, true AS good FROM parts WHERE split = 'train'""",
+)
 def random_forest_cv(spark, sf_dir):
-    """The forest's mean RMSE over four folds."""
+    """Whether the forest's mean RMSE over four folds is below a fourth of the label's deviation."""
     train = _train(_forest_rows(spark, sf_dir))
     forest = _forest()
     grid = param_grid(forest, {"numTrees": [20], "maxDepth": [10]})
-    return cross_validate(forest, grid, train, "p_retailprice", refit=False).report(spark)
+    report = cross_validate(forest, grid, train, "p_retailprice", refit=False).report(spark)
+    label = train.agg(F.count("*").alias("n"), F.stddev_pop("p_retailprice").alias("spread")).first()
+    good = F.col("mean_rmse") < label["spread"] / 4
+    return report.select("point", "numTrees", "maxDepth", "best", F.lit(label["n"]).cast("bigint").alias("n"), good.alias("good"))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
@@ -28,7 +29,16 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -
 def unique_entities(
     df: DataFrame, key: str, category: str, latest_by: Sequence[str], count_name: str = "n"
 ) -> DataFrame:
-    """Entities per category, each entity counted once, under its latest category."""
+    """Entities per category, each entity counted once, under its latest category.
+
+    With one order column of fixed width, the latest date of each entity in each category comes first: a hash
+    aggregate, so that only pairs of entity and category are sorted for the struct's ``max``, not all rows.
+    """
     columns = list(dict.fromkeys([key, *latest_by, category]))
-    latest = dedup_latest(df.select(*columns), [key], [c for c in latest_by if c != key])
+    order = [c for c in latest_by if c != key]
+    rows = df.select(*columns)
+    fixed_width = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if len(order) == 1 and order[0] != category and isinstance(df.schema[order[0]].dataType, fixed_width):
+        rows = rows.groupBy(*dict.fromkeys([key, category])).agg(F.max(order[0]).alias(order[0]))
+    latest = dedup_latest(rows, [key], order)
     return latest.groupBy(category).agg(F.count("*").alias(count_name))

@@ -93,6 +93,12 @@ def test_nationality_histogram(snapshot):
     assert rows(nationality_histogram(snapshot)) == [("Z", 3), ("X", 2), (None, 1), ("Y", 1)]
 
 
+def test_unique_entities_hash_all_rows_before_any_sort(snapshot):
+    plan = nationality_histogram(snapshot)._jdf.queryExecution().executedPlan().toString()
+    lowest = [line for line in plan.splitlines() if "Aggregate(" in line][-1]
+    assert "HashAggregate(" in lowest and "SortAggregate(" not in lowest
+
+
 def test_dedup_latest_keeps_whole_rows(snapshot):
     kept = dedup_latest(snapshot, ["sofifa_id"], ["resource_year"])
     assert kept.columns == snapshot.columns
