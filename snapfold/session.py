@@ -52,6 +52,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/snapfold/{label}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``fresh_path`` placed; nothing happens where it was never written."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def ready_for_checkpoint(spark: SparkSession) -> None:
     """Make sure ``DataFrame.checkpoint()`` has a folder to write to."""
     if not spark.sparkContext.getCheckpointDir():
