@@ -234,8 +234,7 @@ _STAGES_SQL = f"""WITH rows AS (
 def feature_stages_query(spark, sf_dir):
     """All eight stages, fitted on the training rows; the vector's values as columns."""
     rows = hash_split(order_snapshot(spark, sf_dir), ["o_orderkey"])
-    # The sketch's error is set below one rank in a million, so that the median is an exact one here.
-    out = fit_features(rows, order_roles(), median_error=1e-7).transform(rows)
+    out = fit_features(rows, order_roles()).transform(rows)
     arrays = out.withColumn("f", vector_to_array("features"))
     return arrays.select(
         "o_orderkey", "overall", "split", *[F.round(F.col("f")[i], 6).alias(f"f{i}") for i in range(6)]

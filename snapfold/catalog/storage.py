@@ -145,7 +145,7 @@ _PART_TYPES = [
     ),
 )
 def schema_report_query(spark, sf_dir):
-    return schema_report(table(spark, sf_dir, "part"))
+    return schema_report(table(spark, sf_dir, "part"), count=True)
 
 
 @query(

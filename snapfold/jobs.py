@@ -17,7 +17,8 @@ from snapfold.plans.ingest import ingest, ingest_to_database
 from snapfold.plans.neural import train_deep, train_shallow
 from snapfold.plans.regression import split_sizes, train_forest, train_linear, write_training_table
 from snapfold.schema import GENDER_TAG, YEAR_TAG
-from snapfold.sources import JdbcConfig, jdbc_overwrite, jdbc_scan, read_table, sample_rows, snapshot_manifest
+from snapfold.session import drop_path, fresh_path
+from snapfold.sources import JdbcConfig, jdbc_overwrite, jdbc_scan, overwrite_table, read_table, sample_rows, snapshot_manifest
 
 ROW_KEYS = ["sofifa_id", YEAR_TAG, GENDER_TAG]
 # The columns a sample shows.
@@ -41,7 +42,7 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     entries = snapshot_manifest(args.data)
     if args.database:
         schema, _, table = args.table.rpartition(".")
-        ingest_to_database(spark, entries, JdbcConfig.from_env(), schema, table)
+        ingest_to_database(spark, entries, JdbcConfig.from_env(), schema, table, connections=args.connections)
     else:
         ingest(spark, entries, args.table)
     _load(spark, args).printSchema()
@@ -64,7 +65,14 @@ def run_analytics(spark: SparkSession, args: argparse.Namespace) -> None:
 def _training_table(spark: SparkSession, args: argparse.Namespace, **options) -> str:
     path = f"{args.out}/training"
     df = _load(spark, args).where(F.col(GENDER_TAG) == args.gender)
-    write_training_table(df, path, ROW_KEYS, **options)
+    copy = fresh_path(spark, "training-rows") if args.database else None
+    if copy:  # one read of the database; the fits below scan the copy
+        overwrite_table(df, copy)
+        df = read_table(spark, copy)
+    stages = write_training_table(df, path, ROW_KEYS, **options)
+    stages.write().overwrite().save(f"{args.out}/stages")
+    if copy:
+        drop_path(spark, copy)
     split_sizes(spark, path).show()
     return path
 
@@ -102,6 +110,7 @@ def main(argv: list[str] | None = None) -> None:
         job.add_argument("--database", action="store_true", help="use the database that DB_HOST etc. name")
         if name == "ingest":
             job.add_argument("--data", default="data", help="folder of the yearly CSV files")
+            job.add_argument("--connections", type=int, default=16, help="tasks that write, with --database")
         else:
             job.add_argument("--gender", default="male")
         if name == "analytics":

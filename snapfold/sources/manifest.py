@@ -16,10 +16,14 @@ from snapfold.schema import GENDER_TAG, YEAR_TAG
 
 @dataclass(frozen=True)
 class FileEntry:
-    """A CSV file (or a folder of them with one header) and the tag columns of its rows."""
+    """A CSV file (or a folder of them with one header) and the tag columns of its rows.
+
+    With ``columns`` its header is known and not looked up; one that differs fails when the file is read.
+    """
 
     path: str
     tags: Mapping[str, int | str] = field(default_factory=dict)
+    columns: tuple[str, ...] = ()
 
 
 def snapshot_manifest(folder: str = "data") -> list[FileEntry]:
@@ -65,7 +69,7 @@ def read_manifest(spark: SparkSession, entries: Sequence[FileEntry], lookups: in
     if not entries:
         raise ValueError("the manifest is empty.")
     with ThreadPoolExecutor(min(lookups, len(entries))) as pool:
-        headers = list(pool.map(lambda entry: _header(spark, entry.path), entries))
+        headers = list(pool.map(lambda entry: tuple(entry.columns) or _header(spark, entry.path), entries))
     groups: dict[tuple, list[str]] = {}
     for entry, header in zip(entries, headers, strict=True):
         groups.setdefault((header, tuple(entry.tags.items())), []).append(entry.path)

@@ -1,7 +1,9 @@
+import importlib
+
 import pytest
 from pyspark.sql import functions as F
 
-from snapfold.plans.ingest import ingest
+from snapfold.plans.ingest import ingest, ingest_to_database
 from snapfold.schema import CastSpec, align
 from snapfold.session import fresh_path
 from snapfold.sources import (
@@ -22,6 +24,10 @@ from snapfold.sources import (
 )
 
 
+manifest = importlib.import_module("snapfold.sources.manifest")
+plans_ingest = importlib.import_module("snapfold.plans.ingest")  # the package exports a function of the same name
+
+
 @pytest.fixture
 def files(tmp_path):
     (tmp_path / "f15.csv").write_text("id,dob,ls,val,club\n1,1987-06-24,89+3,NULL,A\n2,bad,70,7.5,\n")
@@ -106,7 +112,34 @@ def test_overwrite_and_replace(spark):
 
 def test_schema_report(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
-    assert rows(schema_report(df), "position") == [(0, "a", "int", 2), (1, "b", "string", 1)]
+    assert rows(schema_report(df, count=True), "position") == [(0, "a", "int", 2), (1, "b", "string", 1)]
+    assert rows(schema_report(df), "position") == [(0, "a", "int"), (1, "b", "string")]
+
+
+def test_known_headers_are_not_looked_up(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    monkeypatch.setattr(manifest, "_header", lambda *_: pytest.fail("looked up"))
+    known = FileEntry(str(tmp_path / "a.csv"), {"t": 1}, ("x", "y"))
+    assert rows(read_manifest(spark, [known]), "x") == [("1", "2", 1)]
+    wrong = FileEntry(str(tmp_path / "a.csv"), {"t": 1}, ("y", "x"))
+    with pytest.raises(Exception, match="(?i)header"):
+        read_manifest(spark, [wrong]).collect()
+
+
+def test_a_database_ingest_cleans_in_all_tasks_and_writes_through_the_asked_connections(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("id,val\n1,12.9\n2,x\n")
+    seen = {}
+
+    def copied(df, config, table, connections):
+        seen.update(table=table, connections=connections, rows=rows(df, "id"), files=df.inputFiles())
+
+    monkeypatch.setattr(plans_ingest, "ensure_schema", lambda *_: None)
+    monkeypatch.setattr(plans_ingest, "jdbc_overwrite", copied)
+    casts = CastSpec(doubles=["val"], integers=["id"], dates=[], strings=[])
+    ingest_to_database(spark, [FileEntry(str(tmp_path / "a.csv"))], CONFIG, "s", "t", casts, connections=48)
+    assert (seen["table"], seen["connections"]) == ("s.t", 48)
+    assert seen["rows"] == [(1, 12.9), (2, None)]
+    assert all(name.endswith(".parquet") for name in seen["files"])
 
 
 def test_snapshot_manifest():
