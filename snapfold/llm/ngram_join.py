@@ -30,8 +30,10 @@ from snapfold.llm.buffers import U, mix, pack, runs_of, shingle_sets
 from snapfold.llm.tables import Scratch, components, map_texts
 
 HOT, TILE = 64, 2048
-#: Bytes of text whose parts one bucket holds on average, and sets a task packs at a time.
-BUCKET_BYTES, PACKED = 16 << 20, 8_000
+#: Bytes of text whose parts one bucket holds on average, and parts a task packs at a time, however long its texts are.
+BUCKET_BYTES, PACKED = 16 << 20, 1 << 20
+#: Pairs of postings looked at, and pairs that wait to be counted, at a time.
+STEP, WAITING = 1 << 18, 1 << 20
 _SECOND, _POOR = 1, 2
 
 
@@ -122,6 +124,7 @@ def _packed(docs: DataFrame, buckets: int) -> DataFrame:
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
+        size = 0
         for batch in batches:
             for shingles in shingle_sets(batch["text"].tolist()):
                 if not len(shingles):
@@ -131,15 +134,25 @@ def _packed(docs: DataFrame, buckets: int) -> DataFrame:
                     if (name, second) not in held:
                         keys, poor = part_keys(shingles, scheme)
                         held[name, second] = (len(shingles) << 2 | _POOR * poor | _SECOND * second, keys)
-                if len(held) >= PACKED:
+                        size += len(keys)
+                if size >= PACKED:
                     yield from rows(held)
-                    held = {}
+                    held, size = {}, 0
         if held:
             yield from rows(held)
 
     return docs.select("text").mapInPandas(emit, "bucket int, hot int, ids binary, info binary, owner binary, keys binary")
 
 
+def _counted(code: np.ndarray, times: np.ndarray, more: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and how often each came, with those that waited added."""
+    if not more:
+        return code, times
+    new, n = np.unique(np.concatenate(more), return_counts=True)
+    both, place = np.unique(np.concatenate([code, new]), return_inverse=True)
+    return both, np.bincount(place, np.concatenate([times, n]), len(both)).astype(np.int64)
+
+
 def _agreeing(bucket: int, frame: pd.DataFrame) -> pd.DataFrame:
     """Kind 0: pairs (a, b) with the number of parts that agree and the number needed; kind 1: (set, info, hot key)."""
     ids = [np.frombuffer(x, np.int64) for x in frame["ids"]]
@@ -161,25 +174,31 @@ def _agreeing(bucket: int, frame: pd.DataFrame) -> pd.DataFrame:
     size = np.diff(np.append(first, len(key)))
     hot_keys = np.union1d(key[first][size > HOT], keys[known_hot].astype(U))
     hot = np.isin(key, hot_keys)
-    c_key, c_who = key[~hot], who[~hot]
-    pairs = []
+    c_key, c_who, w, w_key = key[~hot], who[~hot], who[hot], key[hot]
+    del posts, key, who, hot, owner, keys, every, order, new, number, known_hot
+    code, times = np.empty(0, np.int64), np.empty(0, np.int64)
+    waiting, size = [], 0
     for gap in range(1, HOT):
         same = np.flatnonzero(c_key[gap:] == c_key[:-gap])
         if not len(same):
             break
-        a, b = c_who[same], c_who[same + gap]
-        n, m = info[a] >> 2, info[b] >> 2
-        fit = (4 * np.minimum(n, m) >= 3 * np.maximum(n, m)) & (info[a] & info[b] & _SECOND == 0) & (sets[a] != sets[b])
-        pairs.append(a[fit] << 32 | b[fit])
-    code, times = np.unique(np.concatenate(pairs) if pairs else np.empty(0, np.int64), return_counts=True)
+        for at in range(0, len(same), STEP):
+            a, b = c_who[same[at : at + STEP]], c_who[same[at : at + STEP] + gap]
+            n, m = info[a] >> 2, info[b] >> 2
+            fit = (4 * np.minimum(n, m) >= 3 * np.maximum(n, m)) & (info[a] & info[b] & _SECOND == 0) & (sets[a] != sets[b])
+            waiting.append(a[fit] << 32 | b[fit])
+            size += len(waiting[-1])
+            if size >= WAITING:
+                code, times = _counted(code, times, waiting)
+                waiting, size = [], 0
+    code, times = _counted(code, times, waiting)
     a, b = code >> 32, code & 0xFFFFFFFF
     n, m = info[a] >> 2, info[b] >> 2
     poor = (info[a] | info[b]) & _POOR > 0
     need = np.where(poor, 1, np.maximum(1, np.minimum(emitted(n), emitted(m)) - (n + m) // 7))
     x, y = np.minimum(sets[a], sets[b]), np.maximum(sets[a], sets[b])
     cool = pd.DataFrame({"kind": 0, "a": x, "b": y, "times": times, "need": need, "info": 0})
-    w = who[hot]
-    warm = pd.DataFrame({"kind": 1, "a": sets[w], "b": (key[hot] | U(bucket) << U(32)).astype(np.int64), "times": 0, "need": 0, "info": info[w]})
+    warm = pd.DataFrame({"kind": 1, "a": sets[w], "b": (w_key | U(bucket) << U(32)).astype(np.int64), "times": 0, "need": 0, "info": info[w]})
     return pd.concat([cool, warm])
 
 
