@@ -11,6 +11,10 @@ buckets by minimizer. A bucket holds about the same number of bytes at every siz
 "external files" between the steps are Spark's shuffles. Before any bytes are moved, packed minimizers alone are compared,
 and segments whose minimizer is found only in one document are left where they are. Copies of a segment in one part of the
 documents are settled there: all but the smallest document's are removed, and only that one travels.
+
+A phrase of many documents is the minimizer of as many different segments. The segments of each minimizer are counted, and
+those of a hot one are taken apart: their strings go to buckets by their own hash, each at most once from a part of the
+documents, and need only be told equal there, not sorted. So a bucket has at most HOT_SHARE of its size from one minimizer.
 """
 
 from __future__ import annotations
@@ -29,6 +33,8 @@ from snapfold.llm.tables import text_of
 SPAN, GRAM, RUN = 50, 20, 32
 #: Bytes of text for each part of the documents, and for each bucket of segments.
 PART_BYTES = 8 << 20
+#: The share of a bucket that the segments of one minimizer may take.
+HOT_SHARE = 1 / 8
 _LAST = np.iinfo(np.int64).max
 _END = 255  # no byte of UTF-8
 
@@ -140,6 +146,33 @@ def _found(blobs: list[bytes], lengths: np.ndarray, docs: np.ndarray, places: np
     return np.concatenate(out, axis=1)
 
 
+def string_hashes(data: np.ndarray) -> np.ndarray:
+    """The hash of every string of SPAN bytes."""
+    total = prefix_hash(data)
+    return mix((total[SPAN:] - total[:-SPAN]) * powers(len(data))[1][: len(data) - SPAN + 1])
+
+
+def _repeated(blobs: list[bytes], docs: np.ndarray, places: np.ndarray, rows: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """(part, row, start, end) of the strings of SPAN bytes that a smaller document has, in one bucket."""
+    text = b"".join(blobs)
+    number: dict[bytes, int] = {}
+    which = np.fromiter((number.setdefault(text[s : s + SPAN], len(number)) for s in range(0, len(text), SPAN)), np.int64, len(docs))
+    least = np.full(len(number), _LAST)
+    np.minimum.at(least, which, docs)
+    return np.stack([parts, rows, places, places + SPAN])[:, docs > least[which]]
+
+
+def _occurrences(data: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Where the strings of SPAN bytes that start at ``of`` start in the text, each as often as it does."""
+    hashes = string_hashes(data)
+    of = of[np.unique(hashes[of], return_index=True)[1]]
+    at = np.flatnonzero(np.isin(hashes, hashes[of]))
+    like = of[np.searchsorted(hashes[of], hashes[at])]
+    windows = np.lib.stride_tricks.sliding_window_view(data, SPAN)
+    same = [(windows[at[s : s + (1 << 16)]] == windows[like[s : s + (1 << 16)]]).all(axis=1) for s in range(0, len(at), 1 << 16)]
+    return at[np.concatenate(same)]
+
+
 def _code(minimizers: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket in the upper, 32 bits of the minimizer in the lower half."""
     return (minimizers >> U(32)) % U(buckets) << U(32) | minimizers & U(0xFFFFFFFF)
@@ -150,46 +183,58 @@ def _rows(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.sort_values(["id", "text"], kind="stable", ignore_index=True)
 
 
-def suffix_dedup(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """(doc_id, n_bytes, removed, kept): the texts as UTF-8 bytes without those that a smaller document has.
+def bucketed(docs: DataFrame, part_bytes: int = PART_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(id, text, part) of the documents, and the segments and strings that travel, by bucket.
 
-    A byte goes if it lies in a string of SPAN bytes that starts in a document with a smaller doc_id too, in the input as it
-    is. ``removed`` are the maximal runs (start, end) that went, ``kept`` the bytes that are left, which may end within a
-    character. A null text is empty; texts under SPAN bytes lose nothing. A null doc_id is greater than all others. Rows
-    that repeat a doc_id are not smaller than each other. Other columns are ignored.
+    ``settled`` is 1 for what a smaller document of the same part is known to have, 2 for single strings of hot minimizers. The
+    place of such a string is inverted where it starts in its row more than once.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    hot_segments = max(1, int(part_bytes * HOT_SHARE) // SPAN)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(6, math.ceil(size / part_bytes))
     part = F.pmod(F.xxhash64("doc_id", text_of()), F.lit(parts)).cast("int")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("id"), text_of().alias("text"), part.alias("part"))
 
     def minimizers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple[np.ndarray, int, int]] = []
+        held: list[tuple[np.ndarray, int, int, np.ndarray]] = []
 
         def packed() -> pd.DataFrame:
-            code = np.concatenate([k for k, _, _ in held])
-            sizes = [len(k) for k, _, _ in held]
-            where = np.repeat(np.array([p for _, p, _ in held], np.uint32), sizes)
-            ids = np.repeat(np.array([i for _, _, i in held], np.int64), sizes)
+            code, times = (np.concatenate([h[i] for h in held]) for i in (0, 3))
+            sizes = [len(h[0]) for h in held]
+            where = np.repeat(np.array([h[1] for h in held], np.uint32), sizes)
+            ids = np.repeat(np.array([h[2] for h in held], np.int64), sizes)
             order = np.lexsort((ids, where, code))
-            code, where, ids = code[order], where[order], ids[order]
+            code, where, ids, times = code[order], where[order], ids[order], times[order]
             new = np.concatenate([[True], code[1:] != code[:-1]])
             first = np.flatnonzero(new)
             shared = np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)
             shared = np.repeat(shared, np.diff(np.append(first, len(code))))
             once = new | np.concatenate([[True], where[1:] != where[:-1]])
+            # How many segments there are beside the one of each part that the keys tell of.
+            more = np.add.reduceat(times, first) - np.add.reduceat(once.astype(np.int64), first)
+            again, more = code[first][more > 0], more[more > 0]
             code, where, shared = code[once], where[once], shared[once]
-            out = [(b, *pack((code[s] & U(0xFFFFFFFF)).astype(np.uint32), where[s], np.packbits(shared[s]))) for b, s in runs_of((code >> U(32)).astype(np.int64))]
-            return pd.DataFrame(out, columns=["bucket", "keys", "parts", "shared"])
+            out = []
+            for b, s in runs_of((code >> U(32)).astype(np.int64)):
+                a = slice(*np.searchsorted(again, np.array([b, b + 1], U) << U(32)))
+                counted = (again[a] & U(0xFFFFFFFF)).astype(np.uint32), more[a].astype(np.uint32)
+                out.append((b, *pack((code[s] & U(0xFFFFFFFF)).astype(np.uint32), where[s], np.packbits(shared[s]), *counted)))
+            return pd.DataFrame(out, columns=["bucket", "keys", "parts", "shared", "again", "more"])
 
         bytes_held = 0
         for batch in batches:
             for name, text, where in zip(batch["id"], batch["text"], batch["part"], strict=True):
-                data = np.frombuffer(text.encode(), np.uint8)
-                found, _, _ = segments(data)
+                data = text.encode()
+                found, starts, stops = segments(np.frombuffer(data, np.uint8))
                 if len(found):
-                    held.append((np.unique(_code(found, parts)), where, name))
+                    code = _code(found, parts)
+                    codes, times = np.unique(code, return_counts=True)
+                    if len(codes) < len(code):  # equal segments of one document count once
+                        twice = np.flatnonzero(np.isin(code, codes[times > 1]))
+                        each = {(c, data[s:e]) for c, s, e in zip(code[twice].tolist(), starts[twice].tolist(), stops[twice].tolist(), strict=True)}
+                        twice, many = np.unique(np.array([c for c, _ in each], U), return_counts=True)
+                        times[np.searchsorted(codes, twice)] = many
+                    held.append((codes, where, name, times))
                     bytes_held += len(data)
                 if bytes_held > 4 * part_bytes:
                     yield packed()
@@ -206,27 +251,59 @@ def suffix_dedup(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         many = np.diff(np.append(first, len(keys)))
         good = np.repeat((many > 1) | (np.maximum.reduceat(marks, first) > 0), many)
+        again, more = (np.concatenate([np.frombuffer(x, np.uint32) for x in frame[c]]) for c in ("again", "more"))
+        total = many.copy()
+        np.add.at(total, np.searchsorted(keys[first], again), more)
+        hot_keys = keys[first][total > hot_segments]
         pairs = np.unique(where[good].astype(U) << U(32) | keys[good].astype(U))
-        out = [(p, key[0], *pack((pairs[s] & U(0xFFFFFFFF)).astype(np.uint32))) for p, s in runs_of((pairs >> U(32)).astype(np.int64))]
-        return pd.DataFrame(out, columns=["part", "bucket", "keys"])
+        low = (pairs & U(0xFFFFFFFF)).astype(np.uint32)
+        hot = np.isin(low, hot_keys)
+        out = [(p, key[0], *pack(low[s], np.packbits(hot[s]))) for p, s in runs_of((pairs >> U(32)).astype(np.int64))]
+        return pd.DataFrame(out, columns=["part", "bucket", "keys", "hot"])
 
     def cut(key: tuple, texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         columns = ["bucket", "part", "settled", "bytes", "lengths", "docs", "places", "rows"]
         if not len(texts) or not len(known):
             return pd.DataFrame([], columns=columns)
-        wanted = np.sort(np.concatenate([np.frombuffer(k, np.uint32).astype(U) | U(b) << U(32) for b, k in zip(known["bucket"], known["keys"], strict=True)]))
+        wanted = np.concatenate([np.frombuffer(k, np.uint32).astype(U) | U(b) << U(32) for b, k in zip(known["bucket"], known["keys"], strict=True)])
+        hot = np.concatenate([np.unpackbits(np.frombuffer(h, np.uint8), count=len(k) // 4) for h, k in zip(known["hot"], known["keys"], strict=True)])
+        order = np.argsort(wanted)
+        wanted, hot = wanted[order], hot[order]
         frame = _rows(texts)
         first: dict[bytes, int] = {}
-        found = []
+        seen: dict[bytes, tuple[int, int, int]] = {}  # strings of hot minimizers: document, row, place in spread
+        found, spread = [], []
+
+        def apart(data: bytes, hashes: np.ndarray, bucket: int, name: int, row: int, start: int, stop: int) -> None:
+            known_at = []
+            for s in range(start, stop - SPAN + 1):
+                string = data[s : s + SPAN]
+                held = seen.get(string)
+                if held is None or (held[0] == name and held[1] != row):
+                    seen[string] = name, row, len(spread)
+                    spread.append([int(hashes[s] >> U(32)) % parts, string, name, s, row])
+                elif held[0] < name:
+                    known_at.append(s)
+                elif spread[held[2]][3] >= 0:
+                    spread[held[2]][3] = ~spread[held[2]][3]
+            for _, some in runs_of(np.array(known_at, np.int64) - np.arange(len(known_at))):
+                found.append((bucket, True, data[known_at[some][0] : known_at[some][-1] + SPAN], name, known_at[some][0], row))
+
         for row, (name, text) in enumerate(zip(frame["id"], frame["text"], strict=True)):
             data = text.encode()
             least, starts, stops = segments(np.frombuffer(data, np.uint8))
             code = _code(least, parts)
-            hit = wanted[np.minimum(np.searchsorted(wanted, code), len(wanted) - 1)] == code
-            for c, s, e in zip((code[hit] >> U(32)).tolist(), starts[hit].tolist(), stops[hit].tolist(), strict=True):
+            at = np.minimum(np.searchsorted(wanted, code), len(wanted) - 1)
+            hit = wanted[at] == code
+            warm = hot[at[hit]]
+            hashes = string_hashes(np.frombuffer(data, np.uint8)) if warm.any() else None
+            for c, s, e, w in zip((code[hit] >> U(32)).tolist(), starts[hit].tolist(), stops[hit].tolist(), warm.tolist(), strict=True):
                 # Rows ascend by id: a segment seen before has a document that is smaller or the same.
                 held = first.setdefault(data[s:e], name)
-                found.append((c, held < name, data[s:e], name, s, row))
+                if w and held >= name:
+                    apart(data, hashes, c, name, row, s, e)
+                else:
+                    found.append((c, held < name, data[s:e], name, s, row))
         settled = [x for x in found if x[1]]
         found = sorted((x for x in found if not x[1]), key=lambda x: x[0])
         out = []
@@ -234,11 +311,36 @@ def suffix_dedup(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
             some = found[s]
             lengths, names, places, numbers = (np.array(v, np.int64) for v in zip(*((len(x[2]), *x[3:]) for x in some), strict=True))
             out.append((bucket, key[0], 0, b"".join(x[2] for x in some), *pack(lengths.astype(np.uint8), names, places, numbers.astype(np.uint32))))
+        spread.sort(key=lambda x: x[0])
+        for bucket, s in runs_of(np.array([x[0] for x in spread], np.int64)):
+            some = spread[s]
+            names, places, numbers = (np.array(v, np.int64) for v in zip(*(x[2:] for x in some), strict=True))
+            lengths = np.full(len(some), SPAN, np.uint8)
+            out.append((bucket, key[0], 2, b"".join(x[1] for x in some), *pack(lengths, names, places, numbers.astype(np.uint32))))
         if settled:
             lengths, names, places, numbers = (np.array(v, np.int64) for v in zip(*((len(x[2]), *x[3:]) for x in settled), strict=True))
             out.append((key[0] % parts, key[0], 1, b"", *pack(lengths.astype(np.uint8), names, places, numbers.astype(np.uint32))))
         return pd.DataFrame(out, columns=columns)
 
+    keys = rows.mapInPandas(minimizers, "bucket int, keys binary, parts binary, shared binary, again binary, more binary").groupBy("bucket")
+    keys = keys.applyInPandas(shared_keys, "part int, bucket int, keys binary, hot binary")
+    cuts = rows.groupBy("part").cogroup(keys.groupBy("part")).applyInPandas(
+        cut, "bucket int, part int, settled int, bytes binary, lengths binary, docs binary, places binary, rows binary"
+    )
+    return rows, cuts
+
+
+def suffix_dedup(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """(doc_id, n_bytes, removed, kept): the texts as UTF-8 bytes without those that a smaller document has.
+
+    A byte goes if it lies in a string of SPAN bytes that starts in a document with a smaller doc_id too, in the input as it
+    is. ``removed`` are the maximal runs (start, end) that went, ``kept`` the bytes that are left, which may end within a
+    character. A null text is empty; texts under SPAN bytes lose nothing. A null doc_id is greater than all others. Rows
+    that repeat a doc_id are not smaller than each other. Other columns are ignored.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows, cuts = bucketed(docs, part_bytes)
+
     def resolve(frame: pd.DataFrame) -> pd.DataFrame:
         lengths, names, places, numbers = (
             [np.frombuffer(x, t).astype(np.int64) for x in frame[c]] for c, t in (("lengths", np.uint8), ("docs", np.int64), ("places", np.int64), ("rows", np.uint32))
@@ -251,6 +353,10 @@ def suffix_dedup(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
         if len(open_):
             joined = (np.concatenate([x[i] for i in open_]) for x in (lengths, names, places, numbers, where))
             out.append(_found([frame["bytes"].iloc[i] for i in open_], *joined))
+        single = np.flatnonzero(frame["settled"].to_numpy() == 2)
+        if len(single):
+            joined = (np.concatenate([x[i] for i in single]) for x in (names, places, numbers, where))
+            out.append(_repeated([frame["bytes"].iloc[i] for i in single], *joined))
         spans = np.concatenate(out, axis=1)
         spans = spans[:, np.argsort(spans[0], kind="stable")]
         return pd.DataFrame([(p, *pack(*spans[1:, s])) for p, s in runs_of(spans[0])], columns=["part", "rows", "starts", "ends"])
@@ -268,9 +374,13 @@ def suffix_dedup(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
             runs, kept = [], data
             if row in mine:
                 some = order[mine[row]]
+                s, e = starts[some], ends[some]
+                if (s < 0).any():
+                    more = _occurrences(np.frombuffer(data, np.uint8), ~s[s < 0])
+                    s, e = np.concatenate([s[s >= 0], more]), np.concatenate([e[s >= 0], more + SPAN])
                 level = np.zeros(len(data) + 1, np.int64)
-                np.add.at(level, starts[some], 1)
-                np.add.at(level, ends[some], -1)
+                np.add.at(level, s, 1)
+                np.add.at(level, e, -1)
                 gone = np.cumsum(level[:-1]) > 0
                 edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
                 runs = [{"start": int(s), "end": int(e)} for s, e in zip(edges[::2], edges[1::2], strict=True)]
@@ -278,11 +388,6 @@ def suffix_dedup(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
             out.append((name, len(data), runs, kept))
         return pd.DataFrame(out, columns=["doc_id", "n_bytes", "removed", "kept"])
 
-    keys = rows.mapInPandas(minimizers, "bucket int, keys binary, parts binary, shared binary").groupBy("bucket")
-    keys = keys.applyInPandas(shared_keys, "part int, bucket int, keys binary")
-    cuts = rows.groupBy("part").cogroup(keys.groupBy("part")).applyInPandas(
-        cut, "bucket int, part int, settled int, bytes binary, lengths binary, docs binary, places binary, rows binary"
-    )
     spans = cuts.groupBy("bucket").applyInPandas(resolve, "part int, rows binary, starts binary, ends binary")
     result = rows.groupBy("part").cogroup(spans.groupBy("part")).applyInPandas(
         remove, "doc_id bigint, n_bytes bigint, removed array<struct<start:bigint,end:bigint>>, kept binary"

@@ -16,7 +16,7 @@ from snapfold.llm.quality import FEATURES, fit_trees, score, train
 from snapfold.llm.queries import tokenizer_path
 from snapfold.llm.secret_scan import BASE, MORE, find, redact, secret_scan, trigram_query
 from snapfold.llm.sharding import shard
-from snapfold.llm.suffix_dedup import sort_columns, suffix_dedup
+from snapfold.llm.suffix_dedup import bucketed, sort_columns, suffix_dedup
 from snapfold.llm.tables import Scratch, components
 from snapfold.llm.topk import exact_topk
 
@@ -90,6 +90,25 @@ def test_suffix_dedup(docs, nothing, spark):
     assert got == [(i, n, runs, sha) for i, n, _, runs, sha in without_repeats([{"doc_id": i, "text": t} for i, t in rows])]
 
 
+def test_hot_minimizer(spark):
+    """A phrase in different contexts, shared passages at its edge, a repeated one within a row, repeated ids."""
+    order = np.random.default_rng(7)
+    phrase = "common to all the documents"
+    some = lambda: "".join(map(chr, order.integers(97, 123, 60)))
+    ends = [some() for _ in range(40)]
+    rows = [(i // 2 * 2 if i % 50 == 1 else i, some() + phrase + (ends[i % 40] if i % 3 else some())) for i in range(1200)]
+    rows += [(2000 + i, (ends[i][-30:] + phrase + ends[i]) * 3 + "-" * 90 * (i % 4) + some()) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    travels = [r for r in bucketed(docs, 20_000)[1].collect() if r.settled != 1]
+    sizes = {}
+    for r in travels:
+        sizes[r.bucket] = sizes.get(r.bucket, 0) + len(r.bytes)
+    assert max(sizes.values()) < 2 * sum(sizes.values()) / len(sizes), sizes
+    got = sorted((r.doc_id, r.n_bytes, len(r.removed), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in suffix_dedup(docs, 20_000).collect())
+    expected = without_repeats([{"doc_id": i, "text": t} for i, t in sorted(rows)])
+    assert got == sorted((i, n, runs, sha) for i, n, _, runs, sha in expected)
+
+
 def test_sort_columns():
     order = np.random.default_rng(3)
     strings = [bytes(order.integers(97, 99, int(order.integers(50, 82))).tolist()) for _ in range(40)]
