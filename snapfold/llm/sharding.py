@@ -2,15 +2,17 @@
 
 Documents of equal text are linked. Their graph is kept as stars around a hub for each group, so a group of n has n edges.
 A group larger than half a shard's quota is split by hash into parts that fit. Every document starts in a shard by its
-hash. In each round the labels of a group are counted (combined in each task before the shuffle), the group asks for its
-neighbours' commonest shard, and the requests of a shard are granted, by prefix sums over hash buckets of the groups, as
-far as its quota has room. In the end the shards' numbers of rows are made equal, or one apart, by moving rows out of full
-shards, unlinked ones first. Only tables of shards x buckets reach the driver.
+hash. The labels of a group are counted (combined in each task before the shuffle) and the group asks for its neighbours'
+commonest shard, then the next, then any; requests are granted, by sums over hash buckets of the groups, as far as a quota
+has room, and one that does not fit holds up no other. In the end the shards' numbers of rows are made equal, or one apart,
+by moving rows out of full shards, unlinked ones first. Only tables of shards x buckets reach the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapfold.llm.tables import Scratch, running, text_of, uniform_key
@@ -24,26 +26,74 @@ def vertices(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", (F.octet_length(text_of()) + 8).cast("bigint").alias("size"), F.crc32(data).alias("text_crc32"), F.unhex(F.sha2(data, 256)).alias("digest"))
 
 
+def _fill(asked: list[tuple], room: list[int], placed: list[tuple]) -> None:
+    """Grants (name, rows, shards in order of preference) in turn, to the first shard with room; one that fits nowhere is passed over."""
+    for name, n, wishes in asked:
+        target = next((s for s in wishes if n <= room[s]), None)
+        if target is not None:
+            room[target] -= n
+            placed.append((name, target))
+
+
 def _propagate(linked: DataFrame, shards: int, quota: int, rounds: int, scratch: Scratch) -> DataFrame:
-    """(uid, cluster, label) after at most ``rounds`` rounds, or when no group wants to move or none can."""
-    for _ in range(rounds):
-        counts = linked.groupBy("cluster", "label").agg(F.count("*").alias("n"))
-        wish = counts.groupBy("cluster").agg(F.max(F.struct("n", (-F.col("label")).alias("l"))).alias("best"), F.sum("n").alias("all"))
-        wish = wish.select("cluster", (-F.col("best.l")).alias("wanted"), (F.col("all") - F.col("best.n")).alias("moving"))
-        wish = scratch.save(wish.where("moving > 0").withColumn("bucket", F.pmod(F.xxhash64("cluster", F.lit(7)), F.lit(BUCKETS)).cast("int")))
-        load = dict(linked.groupBy("label").count().collect())
-        asked = wish.groupBy("wanted", "bucket").agg(F.sum("moving").alias("n"))
-        summed = F.sum("n").over(Window.partitionBy("wanted").orderBy("bucket"))
-        room = F.create_map(*[F.lit(x) for s in range(shards) for x in (s, max(0, quota - load.get(s, 0)))])
-        granted = asked.withColumn("sum", summed).where(F.col("sum") <= room[F.col("wanted")])
-        cuts = dict(granted.groupBy("wanted").agg(F.max("bucket")).collect())
-        if not cuts:
+    """(uid, label, free): groups that found a shard with room for all their rows, free = 0; rows of others where they were, free = 1.
+
+    Rows that are still scattered take no room, as they leave or stay last. Groups of a BUCKETS-th of the shards' rows or more,
+    of which there are at most BUCKETS and a few, ask one by one, the largest first. The others ask in hash buckets: for
+    their commonest labels in turn, then for any shard with room, in buckets that shrink with the room, until none fits.
+    """
+    spark = linked.sparkSession
+    counts = linked.groupBy("cluster", "label").agg(F.count("*").alias("n"))
+    ranked = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "label"))), lambda x: x["label"])
+    open_ = scratch.save(counts.groupBy("cluster").agg(F.sum("n").alias("rows"), ranked.alias("wishes")))
+    room, homes = [quota] * shards, []
+    by_room = lambda: sorted(range(shards), key=lambda s: (-room[s], s))
+    hashed = lambda salt, n: F.pmod(F.xxhash64("cluster", F.lit(salt)), F.lit(n))
+
+    def one_by_one(rows: list) -> list[tuple]:
+        placed: list[tuple] = []
+        for r in rows:
+            _fill([(r.cluster, r.rows, [*r.wishes, *by_room()])], room, placed)
+        if placed:
+            homes.append(spark.createDataFrame(placed, "cluster bigint, home int"))
+        return placed
+
+    def granted(wanted: Column, buckets: int, salt: int, free: bool) -> bool:
+        nonlocal open_
+        asking = open_.withColumn("wanted", wanted).withColumn("bucket", hashed(salt, buckets)).where(F.col("wanted").isNotNull() & (F.col("bucket") < BUCKETS))
+        sums = asking.groupBy("wanted", "bucket").agg(F.sum("rows").alias("n")).orderBy("wanted", "bucket").collect()
+        placed: list[tuple] = []
+        for r in sums:
+            _fill([((r.wanted, r.bucket), r.n, by_room() if free else [r.wanted])], room, placed)
+        if not placed:
+            return False
+        table = spark.createDataFrame([(w, b, s) for (w, b), s in placed], "wanted int, bucket bigint, home int")
+        dealt = open_.withColumn("wanted", wanted).withColumn("bucket", hashed(salt, buckets)).join(F.broadcast(table), ["wanted", "bucket"], "left")
+        dealt = scratch.save(dealt.drop("wanted", "bucket"))
+        homes.append(dealt.where("home is not null").select("cluster", "home"))
+        open_ = dealt.where("home is null").drop("home")
+        return True
+
+    large = max(2, quota * shards // BUCKETS)
+    one_by_one(open_.where(F.col("rows") >= large).orderBy(F.desc("rows"), "cluster").collect())
+    open_ = open_.where(F.col("rows") < large)
+    for r in range(rounds):
+        granted(F.get("wishes", F.lit(r)), BUCKETS, r, False)
+    salt = rounds
+    while True:
+        left = open_.where(F.col("rows") <= max(room)).agg(F.sum("rows")).first()[0]
+        if not left:
             break
-        cut = F.create_map(*[F.lit(x) for s in range(shards) for x in (s, cuts.get(s, -1))])
-        moves = wish.where(F.col("bucket") <= cut[F.col("wanted")]).select("cluster", "wanted")
-        linked = linked.join(moves, "cluster", "left").select("uid", "cluster", F.coalesce("wanted", "label").alias("label"))
-        linked = scratch.save(linked)
-    return linked
+        salt += 1
+        # A bucket is about an eighth of the largest room; when none fits any more, the smallest groups ask one by one.
+        if not granted(F.lit(0), max(BUCKETS, 8 * left // max(room)), salt, True):
+            if not (placed := one_by_one(open_.where(F.col("rows") <= max(room)).orderBy("rows", "cluster").limit(16 * BUCKETS).collect())):
+                break
+            done = spark.createDataFrame(placed, "cluster bigint, home int").select("cluster")
+            open_ = scratch.save(open_.join(F.broadcast(done), "cluster", "left_anti"))
+    home = functools.reduce(DataFrame.union, homes) if homes else spark.createDataFrame([], "cluster bigint, home int")
+    joined = linked.join(scratch.save(home), "cluster", "left")
+    return scratch.save(joined.select("uid", F.coalesce("home", "label").alias("label"), F.col("home").isNull().cast("int").alias("free")))
 
 
 def shard(docs: DataFrame, scratch: Scratch, shards: int = 24, rounds: int = ROUNDS) -> DataFrame:
@@ -64,12 +114,12 @@ def shard(docs: DataFrame, scratch: Scratch, shards: int = 24, rounds: int = ROU
     parts = F.ceil(F.col("copies") / part).cast("bigint")
     linked = found.join(groups, "digest").select("uid", F.xxhash64("digest", F.pmod(F.xxhash64("uid"), parts)).alias("cluster"), "label")
     linked = _propagate(scratch.save(linked), shards, quota, rounds, scratch)
-    placed = found.drop("label", "digest").join(linked.select("uid", "label", F.lit(0).alias("free")), "uid", "left")
+    placed = found.drop("label", "digest").join(linked, "uid", "left")
     start = F.pmod("uid", F.lit(shards)).cast("int")
     placed = placed.withColumn("label", F.coalesce("label", start)).withColumn("free", F.coalesce("free", F.lit(1)))
     placed = scratch.save(placed.withColumn("key", uniform_key("uid", seed=3)))
 
-    # Linked rows come first in a shard, so that the rows beyond its share are unlinked ones as long as there are any.
+    # Whole groups come first in a shard, so that the rows beyond its share are unlinked or scattered ones.
     counts = {(r.label, r.free): r.n for r in placed.groupBy("label", "free").agg(F.count("*").alias("n")).collect()}
     have = [counts.get((s, 0), 0) + counts.get((s, 1), 0) for s in range(shards)]
     larger = sorted(range(shards), key=lambda s: (-have[s], s))[: rows % shards]

@@ -133,6 +133,20 @@ def test_hot_group(spark, scratch):
     assert {sum(r.shard == s for r in rows) for s in range(24)} == {125}
 
 
+def test_groups_stay_whole(spark, scratch):
+    """A third of the rows has one text, a third is in groups of 2 to 7: parts of the hot group and all others end in one shard each."""
+    text = "case when id % 3 = 0 then 'same' when id % 3 = 1 then concat('group ', id div (6 + 3 * (id div 3000 % 6))) else concat('text ', id) end as text"
+    rows = shard(spark.range(24_000).selectExpr("id as doc_id", text), scratch).collect()
+    assert {sum(r.shard == s for r in rows) for s in range(24)} == {1000}
+    groups = {}
+    for r in rows:
+        groups.setdefault((r["size"], r.text_crc32), []).append(r.shard)
+    sizes = {k: len(v) for k, v in groups.items()}
+    assert max(sizes.values()) == 8000 and sum(1 < n < 100 for n in sizes.values()) > 1000
+    assert len(set(max(groups.values(), key=len))) <= 16  # 16 parts of half a quota
+    assert [k for k, v in groups.items() if len(v) < 8000 and len(set(v)) > 1] == []
+
+
 def test_mix(docs, nothing, scratch):
     rows = mix(measured(docs)).collect()
     assert len(rows) == len(ROWS) and all(0 <= r.taken <= 2 * r["size"] for r in rows)
