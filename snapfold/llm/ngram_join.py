@@ -10,7 +10,8 @@ are ordered: more shingles first, then by number. A set of n emits the first n/3
 of a linked pair's emitted parts at least t = (the smaller number) - d agree. A pair is a candidate if t of its parts agree.
 
 Emitted parts go to buckets as packed arrays. A bucket counts, for every pair, the parts it shares in groups of up to HOT sets. A
-larger group, which copies or a passage of many documents make, is not expanded. Instead its sets learn how many of
+larger group, which copies or a passage of many documents make, is not expanded; what a pack has of it beyond HOT + 1 sets, enough
+to know it by, does not go to its bucket at all. Instead its sets learn how many of
 their parts are hot: a set with few of them is "calm" and shares a cool part with each partner, so its hot parts may go.
 The others are compared with the set of each of their hot groups that has the most hot parts, and then, in tiles, with the sets of
 other components only, by their bit sketches first. So the components are those of all links.
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,9 +103,13 @@ def document_sets(docs: DataFrame) -> DataFrame:
 
 
 def _packed(docs: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, hot, ids, info, owner, keys): the emitted parts of many sets, those of one bucket in one row."""
+    """(bucket, ids, info, owner, keys): the emitted parts of many sets, those of one bucket in one row.
 
-    def rows(held: dict[int, tuple[int, list[np.ndarray]]]) -> Iterator[pd.DataFrame]:
+    A bucket gets at most HOT + 1 sets of a part from each pack. The others of a pack are a row with a negative number of its own as
+    bucket, whose keys are whole codes.
+    """
+
+    def rows(held: dict[int, tuple[int, list[np.ndarray]]], number: int) -> Iterator[pd.DataFrame]:
         ids = np.array([i for i, _ in held], np.int64)
         info = np.array([v[0] for v in held.values()], np.uint32)
         owner = np.repeat(np.arange(len(held), dtype=np.uint32), [len(v[1]) for v in held.values()])
@@ -111,20 +117,25 @@ def _packed(docs: DataFrame, buckets: int) -> DataFrame:
         code = (keys >> U(32)) % U(buckets) << U(32) | keys & U(0xFFFFFFFF)
         order = np.argsort(code, kind="stable")
         code, owner = code[order], owner[order]
+        new = np.concatenate([[True], (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])])
+        code, owner = code[new], owner[new]
         first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
         place = np.arange(len(code)) - np.repeat(first, np.diff(np.append(first, len(code))))
         out = []
-        # What a task has of a group beyond HOT + 1 sets is known to be hot and need not be looked at again.
-        for hot, kept in ((0, place <= HOT), (1, place > HOT)):
-            c, o = code[kept], owner[kept]
-            for bucket, s in runs_of((c >> U(32)).astype(np.int64)):
-                used, own = np.unique(o[s], return_inverse=True)
-                out.append((bucket, hot, *pack(ids[used], info[used], own.astype(np.uint32), (c[s] & U(0xFFFFFFFF)).astype(np.uint32))))
-        yield pd.DataFrame(out, columns=["bucket", "hot", "ids", "info", "owner", "keys"])
+        c, o = code[place <= HOT], owner[place <= HOT]
+        for bucket, s in runs_of((c >> U(32)).astype(np.int64)):
+            used, own = np.unique(o[s], return_inverse=True)
+            out.append((bucket, *pack(ids[used], info[used], own.astype(np.uint32), (c[s] & U(0xFFFFFFFF)).astype(np.uint32))))
+        # The HOT + 1 sets of a group that its bucket gets make it hot there, so the rest need not be looked at again.
+        c, o = code[place > HOT], owner[place > HOT]
+        if len(c):
+            used, own = np.unique(o, return_inverse=True)
+            out.append((-1 - number, *pack(ids[used], info[used], own.astype(np.uint32), c)))
+        yield pd.DataFrame(out, columns=["bucket", "ids", "info", "owner", "keys"])
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
-        size = 0
+        size, packs, task = 0, 0, TaskContext.get().partitionId()
         for batch in batches:
             for shingles in shingle_sets(batch["text"].tolist()):
                 if not len(shingles):
@@ -136,12 +147,12 @@ def _packed(docs: DataFrame, buckets: int) -> DataFrame:
                         held[name, second] = (len(shingles) << 2 | _POOR * poor | _SECOND * second, keys)
                         size += len(keys)
                 if size >= PACKED:
-                    yield from rows(held)
-                    held, size = {}, 0
+                    yield from rows(held, (task << 12 ^ packs) & 0x7FFFFFFF)
+                    held, size, packs = {}, 0, packs + 1
         if held:
-            yield from rows(held)
+            yield from rows(held, (task << 12 ^ packs) & 0x7FFFFFFF)
 
-    return docs.select("text").mapInPandas(emit, "bucket int, hot int, ids binary, info binary, owner binary, keys binary")
+    return docs.select("text").mapInPandas(emit, "bucket int, ids binary, info binary, owner binary, keys binary")
 
 
 def _counted(code: np.ndarray, times: np.ndarray, more: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -153,14 +164,21 @@ def _counted(code: np.ndarray, times: np.ndarray, more: list[np.ndarray]) -> tup
     return both, np.bincount(place, np.concatenate([times, n]), len(both)).astype(np.int64)
 
 
+def _warm(sets: np.ndarray, codes: np.ndarray, info: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"kind": 1, "a": sets, "b": codes.astype(np.int64), "times": 0, "need": 0, "info": info.astype(np.int64)})
+
+
 def _agreeing(bucket: int, frame: pd.DataFrame) -> pd.DataFrame:
     """Kind 0: pairs (a, b) with the number of parts that agree and the number needed; kind 1: (set, info, hot key)."""
+    if bucket < 0:
+        kinds = (("ids", np.int64), ("info", np.uint32), ("owner", np.uint32), ("keys", U))
+        packs = ([np.frombuffer(row[c], kind) for c, kind in kinds] for row in frame.to_dict("records"))
+        return pd.concat([_warm(ids[owner], codes, info[owner]) for ids, info, owner, codes in packs])
     ids = [np.frombuffer(x, np.int64) for x in frame["ids"]]
     infos = np.concatenate([np.frombuffer(x, np.uint32) for x in frame["info"]])
     shift = np.cumsum([0, *map(len, ids)])
     owner = np.concatenate([np.frombuffer(x, np.uint32) + s for x, s in zip(frame["owner"], shift[:-1], strict=True)])
     keys = np.concatenate([np.frombuffer(x, np.uint32) for x in frame["keys"]])
-    known_hot = np.repeat(frame["hot"].to_numpy() > 0, [len(x) // 4 for x in frame["keys"]])
     every = np.concatenate(ids)
     # One number for each (set, scheme), however many tasks met a copy of it.
     order = np.lexsort((infos, every))
@@ -172,10 +190,9 @@ def _agreeing(bucket: int, frame: pd.DataFrame) -> pd.DataFrame:
     key, who = posts >> U(32), (posts & U(0xFFFFFFFF)).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.append(first, len(key)))
-    hot_keys = np.union1d(key[first][size > HOT], keys[known_hot].astype(U))
-    hot = np.isin(key, hot_keys)
+    hot = np.repeat(size > HOT, size)
     c_key, c_who, w, w_key = key[~hot], who[~hot], who[hot], key[hot]
-    del posts, key, who, hot, owner, keys, every, order, new, number, known_hot
+    del posts, key, who, hot, owner, keys, every, order, new, number
     code, times = np.empty(0, np.int64), np.empty(0, np.int64)
     waiting, size = [], 0
     for gap in range(1, HOT):
@@ -198,8 +215,7 @@ def _agreeing(bucket: int, frame: pd.DataFrame) -> pd.DataFrame:
     need = np.where(poor, 1, np.maximum(1, np.minimum(emitted(n), emitted(m)) - (n + m) // 7))
     x, y = np.minimum(sets[a], sets[b]), np.maximum(sets[a], sets[b])
     cool = pd.DataFrame({"kind": 0, "a": x, "b": y, "times": times, "need": need, "info": 0})
-    warm = pd.DataFrame({"kind": 1, "a": sets[w], "b": (w_key | U(bucket) << U(32)).astype(np.int64), "times": 0, "need": 0, "info": info[w]})
-    return pd.concat([cool, warm])
+    return pd.concat([cool, _warm(sets[w], w_key | U(bucket) << U(32), info[w])])
 
 
 def _hot_postings(posts: DataFrame, scratch: Scratch) -> DataFrame:

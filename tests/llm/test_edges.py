@@ -10,7 +10,7 @@ from snapfold.llm.buffers import shingle_sets
 from snapfold.llm.license_scan import TEMPLATES, license_scan
 from snapfold.llm.lz_fingerprint import compare_neighbours, fingerprint, likeness
 from snapfold.llm.mixing import measured, mix, mixed
-from snapfold.llm.ngram_join import bit_sketch, component_ids, fold, one_of_each
+from snapfold.llm.ngram_join import HOT, _packed, bit_sketch, component_ids, fold, one_of_each
 from snapfold.llm.packing import best_fit, pack, plan
 from snapfold.llm.quality import FEATURES, fit_trees, score, train
 from snapfold.llm.queries import tokenizer_path
@@ -190,6 +190,19 @@ def test_large_families(spark, scratch):
     assert sorted(map(tuple, component_ids(docs, scratch).collect())) == brute_components([{"doc_id": i, "text": t} for i, t in rows])
 
 
+def test_hot_parts_leave_their_bucket(spark):
+    """Of a passage of many sets a bucket gets HOT + 1 postings of a part from a pack; the rest are rows of their own, and none is lost."""
+    words = [f"p{i}" for i in range(40)]
+    docs = spark.createDataFrame([(" ".join([*words, *(f"u{i}x{j}" for j in range(20))]),) for i in range(300)], "text string").coalesce(1)
+    rows, largest, postings = _packed(docs, 6).collect(), {}, 0
+    for r in rows:
+        keys = np.frombuffer(r["keys"], np.uint64 if r["bucket"] < 0 else np.uint32)
+        postings += len(keys)
+        if r["bucket"] >= 0:
+            largest[r["bucket"]] = max(np.unique(keys, return_counts=True)[1])
+    assert sum(r["bucket"] < 0 for r in rows) == 1 and max(largest.values()) == HOT + 1 and postings > 300 * 20
+
+
 def test_sketches():
     a, b = list(shingle_sets([" ".join(f"s{i}" for i in range(300)), " ".join(f"s{i}" for i in range(20, 330))]))
     apart = len(np.setxor1d(a, b))
