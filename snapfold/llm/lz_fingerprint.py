@@ -1,7 +1,7 @@
 """Lempel-Ziv fingerprints: the phrases of an LZ78 parse, hashed, and the minimum of each of many hash functions.
 
-Symbols are words (runs of ``[^\\x20\\x09-\\x0D]``), cut into pieces of at most 16 code points, so that a text without spaces
-is parsed into phrases too. A phrase is the longest known one plus a symbol; two texts are alike as far as their phrase
+Symbols are words (runs of ``[^\\x20\\x09-\\x0D]``) of at most 16 code points, and the single code points of longer runs, so that
+a text without spaces is parsed into phrases too, wherever its copy starts. A phrase is the longest known one plus a symbol; two texts are alike as far as their phrase
 sets agree, much as one compresses well with the other's dictionary.
 """
 
@@ -28,7 +28,7 @@ def symbols(text: str) -> list[str]:
     words = [w for w in text.translate(_WHITE).split(" ") if w]
     if len(text) <= SYMBOL or max(map(len, words), default=0) <= SYMBOL:
         return words
-    return [w[i : i + SYMBOL] for w in words for i in range(0, len(w), SYMBOL)]
+    return [s for w in words for s in (w if len(w) > SYMBOL else (w,))]
 
 
 def phrases(text: str) -> set[str]:

@@ -166,6 +166,17 @@ def test_fingerprints(docs, nothing):
     assert fingerprint(COPY) == fingerprint(COPY) and likeness(fingerprint(COPY), fingerprint(LONG)) < 0.1
 
 
+def test_unspaced_near_copies():
+    """One character put in front, or into the middle, of a text without spaces moves no symbol but its own."""
+    order = np.random.default_rng(11)
+    draw = lambda n: "".join(map(chr, order.integers(0x4E00, 0x4E00 + 500, n)))
+    for n in (576, 6143):
+        text = draw(n)
+        for near in ("x" + text, text[: n // 2] + "x" + text[n // 2 :], text[1:]):
+            assert likeness(fingerprint(text), fingerprint(near)) > 0.6
+        assert likeness(fingerprint(text), fingerprint(draw(n))) < 0.4
+
+
 def test_ngram_join(docs, nothing, scratch):
     rows = component_ids(docs, scratch).collect()
     assert sorted((r.doc_id, r.component_id) for r in rows if r.doc_id in (1, 2, 3, 4, 5, 6)) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (5, 5), (6, 6)]
