@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapfold.llm import license_scan as licenses
+from snapfold.llm import period_runs as runs
 from snapfold.llm.lz_fingerprint import compare_neighbours
 from snapfold.llm.mixing import measured, mix
 from snapfold.llm.ngram_join import component_ids
@@ -92,6 +93,16 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), tokenizer_path(), Scratch(spark, "op10"))
 
 
+def op11_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(_table(spark, sf_dir, "documents"), change=runs.planted_repeats)
+    best = found.withColumn("best", runs.most_repeated())
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(runs.run_lines().cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -101,7 +112,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_license_scan, op2_exact_topk, op3_secret_scan, op4_suffix_dedup, op5_shard, op6_mix, op7_lz_fingerprint, op8_ngram_join, op9_quality, op10_pack, pipeline,
+        op1_license_scan, op2_exact_topk, op3_secret_scan, op4_suffix_dedup, op5_shard, op6_mix, op7_lz_fingerprint, op8_ngram_join, op9_quality, op10_pack, op11_period_runs,
+        pipeline,
     )
 }
 

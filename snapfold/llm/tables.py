@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -40,10 +40,11 @@ class Scratch:
         self.paths = []
 
 
-def map_texts(df: DataFrame, function: Callable[[list[str | None]], list], added: str, keep_text: bool = False, step: int = 512) -> DataFrame:
+def map_texts(df: DataFrame, function: Callable[..., list], added: str, keep_text: bool = False, step: int = 512, given: Sequence[str] = ()) -> DataFrame:
     """``df`` with new columns computed from its column ``text`` by Python, ``step`` texts at a time.
 
-    ``function`` gives a list for each column that the DDL ``added`` names. Other columns pass through in Arrow as they are.
+    ``function`` takes the texts, then a list for each column that ``given`` names, and gives a list for each column that the
+    DDL ``added`` names. Other columns pass through in Arrow as they are.
     """
     fields = [f for f in df.schema.fields if keep_text or f.name != "text"]
     names = [f.name for f in fields]
@@ -55,7 +56,7 @@ def map_texts(df: DataFrame, function: Callable[[list[str | None]], list], added
         for batch in batches:
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                values = function(part.column(part.schema.get_field_index("text")).to_pylist())
+                values = function(*[part.column(part.schema.get_field_index(n)).to_pylist() for n in ("text", *given)])
                 arrays = [part.column(part.schema.get_field_index(n)) for n in names]
                 arrays += [pa.array(v, t.type) for v, t in zip(values, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*names, *types.names])

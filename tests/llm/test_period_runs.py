@@ -1,0 +1,106 @@
+"""Periodic runs against a plain search of all periods."""
+
+import hashlib
+import re
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from test_queries import documents
+
+from snapfold.llm import queries
+from snapfold.llm.period_runs import periodic_runs, runs_of_words, surviving
+
+
+def plain_runs(words, least=24, repeats=3):
+    """Every stretch of equal words q apart, of the smallest q that has these ends."""
+    names = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    w, n, found = np.array([names[x] for x in words], np.int64), len(words), {}
+    for q in range(1, n // repeats + 1):
+        same = np.concatenate([[0], (w[q:] == w[:-q]).astype(np.int8), [0]])
+        for s, e in zip(np.flatnonzero(np.diff(same) == 1).tolist(), np.flatnonzero(np.diff(same) == -1).tolist(), strict=True):
+            if e - s + q >= max(least, repeats * q):
+                found.setdefault((s, e + q), q)
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def expected(doc_id, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs, gone = plain_runs(words), set()
+    for s, m, q in runs:
+        gone.update(range(s + q, s + m))
+    best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=None)
+    said = "".join(f"{s},{m},{q}\n" for s, m, q in runs)
+    kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+    one = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    return (doc_id, len(runs), *one, hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(kept.encode()).hexdigest())
+
+
+def test_whole_table(spark, sf_dir):
+    got = sorted(map(tuple, queries.op11_period_runs(spark, sf_dir).collect()))
+    want = sorted(expected(d["doc_id"], d["text"]) for d in documents(sf_dir))
+    assert got == want and sum(r[1] > 0 for r in want) > 100 and max(r[1] for r in want) > 1
+
+
+def found(words):
+    names = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    return [tuple(map(int, r)) for r in runs_of_words([np.array([names[w] for w in words], np.int64)])[0]]
+
+
+def test_shapes():
+    rng = np.random.default_rng(8)
+    for case in range(300):
+        words = []
+        for _ in range(int(rng.integers(1, 6))):
+            unit = rng.integers(0, int(rng.integers(1, 5)), int(rng.integers(1, 12))).tolist()
+            words += unit * int(rng.integers(1, 12)) + unit[: int(rng.integers(0, len(unit) + 1))] + rng.integers(0, 9, int(rng.integers(0, 6))).tolist()
+        assert found(words) == plain_runs(words), (case, words)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 2), max_size=90), st.integers(1, 5))
+def test_any_words(words, times):
+    assert found(words * times) == plain_runs(words * times)
+
+
+def test_overlapping_and_nested():
+    words = ["a"] * 24 + ["b"] + (["a"] * 30 + ["c"]) * 3 + list("xyz") * 8 + list("zyx") * 8
+    runs = found(words)
+    assert runs == plain_runs(words) and (0, 24, 1) in runs and any(q == 31 for _, _, q in runs) and any(q == 3 for _, _, q in runs)
+    assert found(["a"] * 23) == [] and found(["a"] * 24) == [(0, 24, 1)] and found(list("abcdefghi") * 3)[0] == (0, 27, 9) and found(list("abcdefgh") * 3 + ["x"]) == [(0, 24, 8)]
+    assert found((list("abcdefghij") * 3)[:-1]) == []
+
+
+def test_splitting_leaves_little():
+    """Rare words split texts until only what repeats is left; long texts of few words are scanned in seconds."""
+    rng = np.random.default_rng(2)
+    prose = rng.zipf(1.3, 20_000) % 4000
+    place, _ = surviving(prose, np.zeros(len(prose), np.int64))
+    assert len(place) < 0.02 * len(prose)
+    long = rng.integers(0, 3, 400_000)
+    long[100_000:300_000] = np.resize(long[100_000:160_001], 200_000)
+    assert max(m for _, m, q in runs_of_words([long])[0].tolist() if q == 60_001) >= 200_000
+
+
+def test_edges(spark):
+    schema = "doc_id bigint, text string, runs string, n_words int, collapsed double"
+    lines = " ".join(["again and again"] * 10)
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, "word"), (None, lines), (5, lines), (5, lines), (6, "é\x85\xa0 " * 30), (2**60, "w " * 200_000), (7, "A a " * 12)]
+    docs = spark.createDataFrame([(*r, "r", 1, 0.5) for r in rows], schema)
+    got = periodic_runs(docs).collect()
+    assert len(got) == len(rows) and periodic_runs(docs.where("doc_id = -1")).collect() == []
+    by = {r.doc_id: r for r in got}
+    assert [by[i].n_words for i in (1, 2, 3, 4)] == [0, 0, 0, 1] and by[1].collapsed == "" and by[1].runs == []
+    assert [tuple(x) for x in by[5].runs] == [(0, 30, 3)] == [tuple(x) for x in by[None].runs] and by[5].collapsed == "again and again"
+    assert by[6].collapsed == "é\x85\xa0" and by[2**60].collapsed == "w" and by[2**60].runs[0].length == 200_000 and by[7].collapsed == "A a"
+    with pytest.raises(ValueError):
+        runs_of_words([np.arange(3)], 24, 2)
