@@ -82,13 +82,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return map_texts(docs.select("doc_id", "text"), lambda texts: [[fingerprint(t or "") for t in texts]], "fingerprint string")
 
 
-def _ranged(docs: DataFrame) -> tuple[DataFrame, int]:
-    """The rows with ``range``, a range of ids, the first id of each range also in the range before it as ``ahead``.
+def _ranged(docs: DataFrame, range_rows: int) -> tuple[DataFrame, int]:
+    """The rows with ``range``, a range of about ``range_rows`` ids, the first id of each range also in the one before it as ``ahead``.
 
     The bounds are ids of the table: 8 bytes for each of at most RANGES ranges go to the driver and to the tasks.
     """
     rows = docs.count()
-    n = min(RANGES, max(1, rows // RANGE_ROWS))
+    n = min(RANGES, max(1, rows // range_rows))
     bounds: list[int] = []
     if n > 1:
         shares = [i / n for i in range(1, n)]
@@ -123,14 +123,14 @@ def half_replaced(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def compare_neighbours(docs: DataFrame, edit: EditedText = half_replaced) -> DataFrame:
+def compare_neighbours(docs: DataFrame, edit: EditedText = half_replaced, range_rows: int = RANGE_ROWS) -> DataFrame:
     """(doc_id, text, edited, fingerprint, edited_fingerprint, near_edited, near_next), next being the next greater doc_id.
 
     Rows are ordered by doc_id, then by text, null ids last; the last row's next is the first. A null text is empty, and
     a table of one row is its own next. The table is shuffled once, by ranges of ids; a task reads its range as a stream
     and holds two rows.
     """
-    spread, n = _ranged(docs)
+    spread, n = _ranged(docs, range_rows)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def one(row: tuple, after: tuple, marks: dict[str, str]) -> tuple:
@@ -157,21 +157,23 @@ def compare_neighbours(docs: DataFrame, edit: EditedText = half_replaced) -> Dat
                     held, of, done = None, part, False
                 if held is not None and not done:
                     out.append(one(held, row, marks))
-                    size += 2 * len(held[1])
+                    size += 2 * len(held[1]) + 1024
                 done = done or bool(ahead)
                 held = row
                 if size > 1 << 22:
                     yield _frame(out, names)
                     out, size = [], 0
-        yield _frame(out, names)
+        if out:  # a frame without rows has no types, and Arrow cannot guess those of strings
+            yield _frame(out, names)
 
     schema = f"doc_id {kind}, text string, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     # Each range has the row that follows it, marked, as its last; only the first such row is looked at.
-    dealt = spread.repartition(n, "range").sortWithinPartitions("range", "ahead", F.col("doc_id").asc_nulls_last(), text_of())
+    # A range is a partition of its own, so that none stands empty beside one that holds several.
+    dealt = spread.repartitionById(n, F.col("range")).sortWithinPartitions("range", "ahead", F.col("doc_id").asc_nulls_last(), text_of())
     return dealt.select(_id(), F.col("doc_id").isNotNull().alias("known"), "text", "range", "ahead").mapInPandas(compare, schema)
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+    columns = list(zip(*rows, strict=True))
     # Not by way of floats, which a null among the ids would make of them.
     return pd.DataFrame({n: pd.array(c, "Int64") if n == "doc_id" else list(c) for n, c in zip(names, columns, strict=True)})
