@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from snapfold.llm import license_scan as licenses
 from snapfold.llm import period_runs as runs
+from snapfold.llm.hard_negatives import hard_negatives
 from snapfold.llm.lz_fingerprint import compare_neighbours
 from snapfold.llm.mixing import measured, mix
 from snapfold.llm.ngram_join import component_ids
@@ -19,6 +20,7 @@ from snapfold.llm.sharding import shard
 from snapfold.llm.suffix_dedup import suffix_dedup
 from snapfold.llm.tables import Scratch
 from snapfold.llm.topk import exact_topk
+from snapfold.llm.vectors import usable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +105,13 @@ def op11_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).cast("bigint")
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
+    rows = _table(spark, sf_dir, "embeddings").where(usable("embedding")).select(F.col("vec_id").cast("bigint").alias("id"), label.alias("label"), whole.alias("v"))
+    return hard_negatives(rows, rows.where("id % 100 = 0"), Scratch(spark, "op12"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -113,7 +122,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_exact_topk, op3_secret_scan, op4_suffix_dedup, op5_shard, op6_mix, op7_lz_fingerprint, op8_ngram_join, op9_quality, op10_pack, op11_period_runs,
-        pipeline,
+        op12_hard_negatives, pipeline,
     )
 }
 
@@ -153,4 +162,25 @@ ORACLES = {
         ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op12_hard_negatives": """
+        WITH rows AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS alike, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+            FROM rows a JOIN rows r ON a.vec_id <> r.vec_id AND a.vec_id % 100 = 0
+        ),
+        firsts AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM scored WHERE alike),
+        pairs AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM firsts WHERE place <= 5),
+        fitting AS (
+            SELECT anchor_id, positive_id, s.id AS negative_id, positive_score, s.score AS negative_score,
+                CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+            FROM pairs JOIN scored s USING (anchor_id)
+            WHERE NOT alike AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+        )
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM fitting WHERE rank <= 10
+    """,
 }
