@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapfold.llm import language_id as language
 from snapfold.llm import license_scan as licenses
 from snapfold.llm import period_runs as runs
 from snapfold.llm.hard_negatives import hard_negatives
@@ -112,6 +113,12 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(rows, rows.where("id % 100 = 0"), Scratch(spark, "op12"))
 
 
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.identify(docs, language.train(docs.where(language.bucket_of("doc_id") != 2)))
+    return found.select("doc_id", F.coalesce(language.bucket_of("doc_id") == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "far")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -122,7 +129,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_exact_topk, op3_secret_scan, op4_suffix_dedup, op5_shard, op6_mix, op7_lz_fingerprint, op8_ngram_join, op9_quality, op10_pack, op11_period_runs,
-        op12_hard_negatives, pipeline,
+        op12_hard_negatives, op13_language, pipeline,
     )
 }
 
