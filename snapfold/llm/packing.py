@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections import defaultdict
 
@@ -22,18 +23,26 @@ from pyspark.sql import functions as F
 from snapfold.llm.tables import Scratch, map_texts, running, uniform_key
 
 CAPACITY, END = 1024, 2
+#: A run of white space of so many characters goes to the library: the fast encoder's matcher recurses through it until its stack ends.
+WHITE_RUN = 1 << 14
 # Fixed value: the pattern by which byte-level BPE of this family cuts texts before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _loaded: dict[str, Encoder] = {}
+_LONG_WHITE = re.compile(rf"\s{{{WHITE_RUN}}}")
 
 
 def _ranks(path: str) -> dict[bytes, int] | None:
-    """The ids of a byte-level BPE file by the bytes they stand for, if they ascend as the merges do; else None."""
+    """The ids of a byte-level BPE file by the bytes they stand for, if they ascend as the merges do; else None.
+
+    None too where the file asks for anything that the fast encoder does not do.
+    """
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
     model, first = spec["model"], spec.get("pre_tokenizer") or {}
     if model.get("type") != "BPE" or spec.get("normalizer") or first.get("type") != "ByteLevel" or first.get("add_prefix_space"):
         return None
+    if not first.get("use_regex", True) or any(model.get(k) for k in ("ignore_merges", "byte_fallback", "dropout", "continuing_subword_prefix", "end_of_word_suffix")):
+        return None
     # Bytes that don't print stand as the characters from 256 on.
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     signs = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(plain)))}
@@ -47,7 +56,8 @@ class Encoder:
     """The ids that the ``tokenizers`` library gives for a file.
 
     A byte-level BPE whose ids ascend as its merges do is run by ``tiktoken``, which gives the same ids in a quarter of the
-    time. Texts with a special token's string, and all texts with any other file, go to the library itself.
+    time. Texts with a special token's string or a very long run of white space, and all texts with any other file, go to
+    the library itself.
     """
 
     def __init__(self, path: str):
@@ -61,7 +71,7 @@ class Encoder:
         self.fast = ranks and Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> list[int]:
-        if self.fast and not any(s in text for s in self.special):
+        if self.fast and not any(s in text for s in self.special) and not (len(text) >= WHITE_RUN and _LONG_WHITE.search(text)):
             return self.fast.encode_ordinary(text)
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 

@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, extra columns with clashing names."""
 
 import hashlib
+import json
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from snapfold.llm.license_scan import TEMPLATES, license_scan
 from snapfold.llm.lz_fingerprint import compare_neighbours, fingerprint, likeness
 from snapfold.llm.mixing import measured, mix, mixed
 from snapfold.llm.ngram_join import HOT, _packed, bit_sketch, component_ids, fold, one_of_each
-from snapfold.llm.packing import best_fit, pack, plan
+from snapfold.llm.packing import WHITE_RUN, _ranks, best_fit, pack, plan
 from snapfold.llm.quality import FEATURES, fit_trees, score, train
 from snapfold.llm.queries import tokenizer_path
 from snapfold.llm.secret_scan import BASE, MORE, find, redact, secret_scan, trigram_query
@@ -67,6 +68,20 @@ def test_topk(spark):
     assert exact_topk(huge.where("id = 0"), huge).first().score == 2**60 + 3
 
 
+def test_topk_many_tiles(spark):
+    """More tiles than one round merges, vectors of two lengths, clashing columns, equal scores across tiles."""
+    rng = np.random.default_rng(9)
+    rows = [(int(i), rng.integers(-3, 4, 3 + i % 2).astype(float).tolist(), "part", 1, "x") for i in range(900)]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>, part string, block int, query_id string")
+    found = {}
+    for r in exact_topk(df.where("id % 50 = 0"), df, 5, query_tile=4, row_tile=11).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert len(found) == 18
+    for q, lists in found.items():
+        scores = sorted((-int(np.dot(rows[q][1], v)), i) for i, v, *_ in rows if i != q and len(v) == len(rows[q][1]))[:5]
+        assert sorted(lists) == [(n, i, -s) for n, (s, i) in enumerate(scores, 1)]
+
+
 def test_secrets(docs, nothing):
     found = {r.doc_id: [(s.start, s.end, s.kind) for s in r.spans] for r in secret_scan(docs, BASE).collect()}
     assert [k for _, _, k in found[8]] == ["assign", "access", "hex"] and found[2**60 + 1] == [(0, 22, "assign")] and found[4] == found[5] == []
@@ -255,3 +270,23 @@ def test_packing(docs, nothing, scratch):
     bound = max(-(-int((histogram * np.arange(101)).sum()) // 100), int(histogram[51:].sum()))
     assert sum(many for _, many in done) <= 1.05 * bound
     assert sum(many for _, many in best_fit(histogram)) >= bound
+
+
+def test_packing_long_white_runs(spark, scratch):
+    """Runs of white space over which the fast encoder's matcher would end its stack."""
+    n = 1_000_000
+    texts = {1: " " * n, 2: " " * n + "a", 3: "\n" * n, 4: "a" + "\t" * n + "b" + " " * (WHITE_RUN - 1) + "c", 5: "x" * 200_000, 6: "a " * 9000}
+    check_packing(pack(spark.createDataFrame(list(texts.items()), "doc_id int, text string"), tokenizer_path(), scratch).collect(), texts)
+
+
+def test_vocabularies_that_need_the_library(tmp_path):
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        spec = json.load(file)
+    assert _ranks(tokenizer_path())
+    for place, key, value in ((spec["pre_tokenizer"], "use_regex", False), (spec["model"], "ignore_merges", True), (spec["model"], "dropout", 0.1), (spec["model"], "byte_fallback", True)):
+        had = place.get(key)
+        place[key] = value
+        changed = tmp_path / f"{key}.json"
+        changed.write_text(json.dumps(spec), encoding="utf-8")
+        place[key] = had
+        assert _ranks(str(changed)) is None
