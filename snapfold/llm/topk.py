@@ -1,96 +1,61 @@
 """Exact top-k by inner product: tiles of queries against tiles of rows, a partial selection in each, lists merged in a tree.
 
-Rows are dealt to tiles by a hash of their id. Each pair of a query tile and a row tile is one group, multiplied as one
-matrix product that keeps the k best of every query; the lists then meet in rounds of FAN tiles. What a task holds is two
-tiles and their product, whatever the number of rows.
+Rows are dealt to tiles once, by a hash of their id; queries are dealt to blocks, and every tile of rows reads the blocks one after
+another (``vectors.streamed``). Each block is multiplied with the tile as one matrix product that keeps the k best of every
+query; the lists then meet in rounds of FAN tiles. What a task holds is a tile, a block and their product, whatever the number of rows.
+What crosses the shuffle is every row once, and every query once for each tile.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-QUERY_TILE, ROW_TILE, FAN = 1024, 16384, 32
-_LONG = (1 << 63) - 1
+from snapfold.llm.vectors import TILE_BYTES, Part, best_of, products, streamed, tile_count, usable
 
+QUERY_TILE, FAN = 1024, 32
+#: Scores computed at a time.
+PRODUCT = 1 << 22
 
-def _products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Exact integer products: in doubles while every sum stays below 2^53, else in Python's integers held to 64 bits."""
-    if not len(q) or not len(v) or not q.shape[1]:
-        return np.zeros((len(q), len(v)), np.int64)
-    bound = float(np.abs(q).max()) * float(np.abs(v).max()) * q.shape[1]
-    if bound < 2**53:
-        return (q @ v.T).astype(np.int64)
-    exact = np.vectorize(int, otypes=[object])
-    scores = exact(q).dot(exact(v).T)
-    return np.clip(scores, -_LONG - 1, _LONG).astype(np.int64)
 
-
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Indices of the k best, ties to the smaller id; ``ids`` ascend."""
-    if len(scores) > k:
-        cut = np.partition(scores, len(scores) - k)[len(scores) - k]
-        above = np.flatnonzero(scores > cut)
-        chosen = np.concatenate([above, np.flatnonzero(scores == cut)[: k - len(above)]])
-    else:
-        chosen = np.arange(len(scores))
-    return chosen[np.lexsort((ids[chosen], -scores[chosen]))]
-
-
-def _matrix(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Ids in ascending order and their vectors; of rows that repeat an id the smallest vector stays."""
-    ids, vectors = rows.iloc[:, 0].to_numpy(), np.stack(rows.iloc[:, 1].to_numpy()).astype(np.float64)
-    order = np.lexsort((*vectors.T[::-1], ids))
-    ids = ids[order]
-    first = np.concatenate([[True], ids[1:] != ids[:-1]])
-    return ids[first], vectors[order][first]
-
-
-def exact_topk(queries: DataFrame, rows: DataFrame, k: int = 10, query_tile: int = QUERY_TILE, row_tile: int = ROW_TILE) -> DataFrame:
+def exact_topk(queries: DataFrame, rows: DataFrame, k: int = 10, query_tile: int = QUERY_TILE, row_tile: int | None = None, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k rows of the highest inner product, ties to the smaller id.
 
     Both frames hold (id bigint, v array<double>) with whole numbers; a row is no candidate of a query of its own id.
     Rows whose id or vector is null, or whose vector holds a null or a number that is not finite, take no part. Only
-    vectors of equal length are compared. Rows that repeat an id count as one. Scores beyond 64 bits are held to the bound.
+    vectors of equal length are compared. Rows that repeat an id in one length count as one, that of the smallest vector. Other columns are
+    not looked at. Scores beyond 64 bits are held to the bound. A tile of rows holds ``row_tile`` rows, or by default
+    at most ``tile_bytes`` of vectors.
     """
-    usable = F.col("id").isNotNull() & F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    counts = [df.where(usable).count() for df in (queries, rows)]
-    q_tiles, r_tiles = (max(1, math.ceil(n / size)) for n, size in zip(counts, (query_tile, row_tile), strict=True))
-
-    def dealt(df: DataFrame, own: int, others: int, names: tuple[str, str]) -> DataFrame:
-        # New names for each side: a query is a row too, and the two sides of a cogroup may not share columns.
-        return df.where(usable).select(
-            F.col("id").alias(f"{names[0]}_id"), F.col("v").alias(f"{names[0]}_v"), F.size("v").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(own)).cast("int").alias(names[0]),
-            F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(names[1]),
-        )
-
-    def tile(key: tuple, q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(q) and len(r):
-            q_ids, q_vectors = _matrix(q)
-            r_ids, r_vectors = _matrix(r)
-            step = max(1, (1 << 22) // len(r_ids))
-            for at in range(0, len(q_ids), step):
-                scores = _products(q_vectors[at : at + step], r_vectors)
-                for qid, line in zip(q_ids[at : at + step], scores, strict=True):
-                    other = r_ids != qid
-                    ids, line = (r_ids, line) if other.all() else (r_ids[other], line[other])
-                    best = _best(line, ids, k)
-                    out.append(pd.DataFrame({"query_id": qid, "part": key[2], "vec_id": ids[best], "score": line[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "part": [], "vec_id": [], "score": []})
-
-    cells = ["dim", "q_tile", "r_tile"]
-    left = dealt(queries, q_tiles, r_tiles, ("q_tile", "r_tile"))
-    right = dealt(rows, r_tiles, q_tiles, ("r_tile", "q_tile"))
-    lists = left.groupBy(*cells).cogroup(right.groupBy(*cells)).applyInPandas(tile, "query_id bigint, part int, vec_id bigint, score bigint")
+    whole = usable() & F.col("id").isNotNull()
+    queries, rows = (df.where(whole).select("id", "v") for df in (queries, rows))
+    blocks = max(1, math.ceil(queries.count() / query_tile))
+    tiles = tile_count(rows, row_tile, tile_bytes)
+
+    def select(tile: Part, block: Part) -> Iterator[dict]:
+        step = max(1, PRODUCT // len(tile.ids))
+        for at in range(0, len(block.ids), step):
+            found = []
+            for query, scores in zip(block.ids[at : at + step], products(block.vectors[at : at + step], tile.vectors), strict=True):
+                best = best_of(scores, tile.ids, k + 1)
+                found.append(best[tile.ids[best] != query][:k])  # a row is none of its own candidates
+                found[-1] = (query, tile.ids[found[-1]], scores[found[-1]])
+            sizes = [len(ids) for _, ids, _ in found]
+            yield {
+                "query_id": np.repeat([q for q, _, _ in found], sizes), "part": np.full(sum(sizes), int(tile.rows.column("part")[0].as_py())),
+                "vec_id": np.concatenate([ids for _, ids, _ in found]), "score": np.concatenate([scores for _, _, scores in found]),
+            }
+
+    dealt = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    parted = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(tiles)).cast("int"))
+    lists = streamed(parted, dealt, tiles, select, "query_id bigint, part int, vec_id bigint, score bigint")
     order = [F.desc("score"), "vec_id"]
-    parts = r_tiles
-    while parts > FAN:
-        parts = math.ceil(parts / FAN)
+    while tiles > FAN:
+        tiles = math.ceil(tiles / FAN)
         lists = lists.withColumn("part", F.floor(F.col("part") / FAN).cast("int"))
         best = F.row_number().over(Window.partitionBy("query_id", "part").orderBy(*order))
         lists = lists.withColumn("rank", best).where(F.col("rank") <= k).drop("rank")
