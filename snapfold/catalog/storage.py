@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import contextlib
+
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from snapfold.catalog.registry import query, table
-from snapfold.plans.ingest import ingest
+from snapfold.plans.ingest import ingest, ingest_new
 from snapfold.schema import CastSpec
 from snapfold.session import fresh_path
 from snapfold.sources import (
     FileEntry,
+    append_batch,
     append_table,
+    footer_report,
     overwrite_table,
+    read_batches,
     read_manifest,
     read_table,
     read_text_csv,
@@ -131,6 +137,44 @@ def ingest_end_to_end(spark, sf_dir):
     return loaded.select("o_orderkey", "cust", "price", "day", "priority", "resource_year", "gender")
 
 
+@query(
+    "append_exactly_once",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+              CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS BIGINT) AS version FROM orders""",
+)
+def append_exactly_once(spark, sf_dir):
+    """Two batches, the second loaded three times: once with a task that fails half-way, once whole, and once again."""
+    path = fresh_path(spark, "orders-batches")
+    orders = _orders(spark, sf_dir)
+    finished = F.col("o_orderstatus").eqNullSafe("F")
+    append_batch(orders.where(finished), path, "finished")
+    others = orders.where(~finished).select(*reversed(orders.columns))
+    breaking = F.when(F.col("o_orderkey") % 1000 == 7, F.raise_error(F.lit("a task is lost")).cast("double")).otherwise(F.col("o_totalprice"))
+    with contextlib.suppress(PySparkException):
+        append_batch(others.withColumn("o_totalprice", breaking), path, "others")
+    for _ in range(2):
+        append_batch(others, path, "others")
+    return read_batches(spark, path, versions=True)
+
+
+@query(
+    "ingest_by_ledger",
+    """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey,
+              CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_custkey AS INTEGER) END AS cust,
+              o_totalprice AS price, CAST(year(o_orderdate) AS INTEGER) AS resource_year,
+              CAST(CASE WHEN year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders) THEN 2 ELSE 1 END AS BIGINT) AS version
+       FROM orders""",
+)
+def ingest_by_ledger(spark, sf_dir):
+    """All years but the last, then all of them, then all again: each file is read once, the last year's by the second load."""
+    path = fresh_path(spark, "orders-by-ledger")
+    casts = CastSpec(["price"], ["o_orderkey", "cust"], ["day"], ["priority"])
+    files = _yearly_order_files(spark, sf_dir)
+    for some in (files[:-1], files, files):
+        ingest_new(spark, some, path, casts)
+    return read_batches(spark, path, versions=True).select("o_orderkey", "cust", "price", "resource_year", "version")
+
+
 _PART_TYPES = [
     ("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"),
     ("p_type", "string"), ("p_size", "int"), ("p_retailprice", "double"),
@@ -148,6 +192,20 @@ def schema_report_query(spark, sf_dir):
     return schema_report(table(spark, sf_dir, "part"), count=True)
 
 
+@query(
+    "footer_report",
+    " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column_name, '{t}' AS data_type, count(*) AS rows, count({c}) AS present, "
+        + (f"CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high" if t in ("bigint", "int") else "CAST(NULL AS VARCHAR) AS low, CAST(NULL AS VARCHAR) AS high")
+        + " FROM part"
+        for i, (c, t) in enumerate(_PART_TYPES)
+    ),
+)
+def footer_report_query(spark, sf_dir):
+    """The same from the files' footers, with the bounds of integers."""
+    return footer_report(spark, f"{sf_dir}/part.parquet", [c for c, t in _PART_TYPES if t in ("bigint", "int")])
+
+
 @query(
     "sample_rows",
     "SELECT p_name, p_brand, p_size, p_type FROM part ORDER BY p_partkey LIMIT 5",

@@ -52,10 +52,16 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/snapfold/{label}-{uuid.uuid4().hex}"
 
 
+def hadoop_path(spark: SparkSession, path: str) -> tuple:
+    """The file system that a path lies in, and the path as that names it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a table that ``fresh_path`` placed; nothing happens where it was never written."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    files, place = hadoop_path(spark, path)
+    files.delete(place, True)
 
 
 def ready_for_checkpoint(spark: SparkSession) -> None:

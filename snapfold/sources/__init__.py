@@ -1,7 +1,9 @@
-from snapfold.sources.jdbc import JdbcConfig, ensure_schema, jdbc_append, jdbc_overwrite, jdbc_scan
+from snapfold.sources.jdbc import JdbcConfig, ensure_schema, jdbc_append, jdbc_append_once, jdbc_overwrite, jdbc_scan
+from snapfold.sources.ledger import append_batch, read_batches
 from snapfold.sources.manifest import FileEntry, read_manifest, read_text_csv, snapshot_manifest
 from snapfold.sources.tables import (
     append_table,
+    footer_report,
     overwrite_table,
     read_table,
     replace_partitions,
@@ -12,12 +14,16 @@ from snapfold.sources.tables import (
 __all__ = [
     "FileEntry",
     "JdbcConfig",
+    "append_batch",
     "append_table",
     "ensure_schema",
+    "footer_report",
     "jdbc_append",
+    "jdbc_append_once",
     "jdbc_overwrite",
     "jdbc_scan",
     "overwrite_table",
+    "read_batches",
     "read_manifest",
     "read_table",
     "read_text_csv",

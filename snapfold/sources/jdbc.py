@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from snapfold.session import drop_path, fresh_path
 
 
 @dataclass(frozen=True)
@@ -80,11 +85,70 @@ def jdbc_append(df: DataFrame, config: JdbcConfig, table: str, connections: int
     """Add rows to a table, created at its first write; columns match by name.
 
     Each task commits its own transaction. A task lost after its commit is run again and would add its
-    rows twice: load into an emptied table (``jdbc_overwrite``) where that matters.
+    rows twice: ``jdbc_append_once`` does not.
     """
     _write(df, config, table, "append", connections, batch)
 
 
+ROW_COLUMN = "load_row"
+
+
+def merge_statements(table: str, stage: str, ledger: str, columns: Sequence[str], name: str) -> list[str]:
+    """What moves a batch from its staging table in one transaction; the first one fails where the ledger has the batch."""
+    quoted = ", ".join(f'"{c}"' for c in columns)
+    text = name.replace("'", "''")
+    copies = f'row_number() OVER (PARTITION BY "{ROW_COLUMN}" ORDER BY "{ROW_COLUMN}")'
+    return [
+        f"INSERT INTO {ledger} (batch) VALUES ('{text}')",
+        f"INSERT INTO {table} ({quoted}) SELECT {quoted} FROM (SELECT {quoted}, {copies} AS nth FROM {stage}) staged WHERE nth = 1",
+    ]
+
+
+def _in_one_transaction(spark: SparkSession, config: JdbcConfig, statements: Sequence[str]) -> bool:
+    """Run statements from the driver, all or none; False if one breaks a constraint (SQLSTATE 23)."""
+    jvm = spark._jvm
+    jvm.java.lang.Class.forName(config.driver)
+    connection = jvm.java.sql.DriverManager.getConnection(config.url, config.user, config.password)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        try:
+            for text in statements:
+                statement.executeUpdate(text)
+            connection.commit()
+        except Py4JJavaError as error:
+            connection.rollback()
+            state = getattr(error.java_exception, "getSQLState", lambda: None)()
+            if not (state or "").startswith("23"):
+                raise
+            return False
+        return True
+    finally:
+        connection.close()
+
+
+def jdbc_append_once(df: DataFrame, config: JdbcConfig, table: str, name: str, ledger: str, connections: int = 16, batch: int = 10_000) -> bool:
+    """Add the rows of the batch ``name`` to a table, once, whatever is run again; False if ``ledger`` has it already.
+
+    Three steps, each of which may be repeated. The rows are written to the shared folder with a number each, so that no retry
+    numbers them anew. They are copied to a staging table, where a task that was lost after its commit leaves some twice. One
+    transaction enters the batch in the ledger, whose key refuses a second entry, and moves one row of each number.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, "jdbc-batch")
+    stage = f"{table}_stage_{uuid.uuid4().hex[:12]}"
+    try:
+        df.withColumn(ROW_COLUMN, F.monotonically_increasing_id()).write.parquet(path)
+        rows = spark.read.parquet(path)
+        _write(rows, config, stage, "overwrite", connections, batch)
+        _write(rows.drop(ROW_COLUMN).limit(0), config, table, "append", 1, batch)  # creates the table where there is none
+        _in_one_transaction(spark, config, [f"CREATE TABLE IF NOT EXISTS {ledger} (batch VARCHAR(512) PRIMARY KEY)"])
+        return _in_one_transaction(spark, config, merge_statements(table, stage, ledger, df.columns, name))
+    finally:
+        drop_path(spark, path)
+        _in_one_transaction(spark, config, [f"DROP TABLE IF EXISTS {stage}"])
+
+
 def jdbc_overwrite(
     df: DataFrame,
     config: JdbcConfig,

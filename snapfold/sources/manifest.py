@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapfold.schema import GENDER_TAG, YEAR_TAG
+from snapfold.session import hadoop_path
 
 
 @dataclass(frozen=True)
@@ -55,6 +57,23 @@ def read_text_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequ
     return spark.read.schema(schema).csv(paths, header=True, enforceSchema=False)
 
 
+def fingerprints(spark: SparkSession, paths: Sequence[str], lookups: int = 16) -> list[str]:
+    """For each file or folder a hash of its files' names, sizes and times of change: another one means that it was changed."""
+
+    def look(path: str) -> str:
+        files, place = hadoop_path(spark, path)
+        listing, found = files.listFiles(place, True), []
+        while listing.hasNext():
+            status = listing.next()
+            name = status.getPath().getName()
+            if not name.startswith(("_", ".")):
+                found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+        return hashlib.sha256(repr(sorted(found)).encode()).hexdigest()
+
+    with ThreadPoolExecutor(max(1, min(lookups, len(paths)))) as pool:
+        return list(pool.map(look, paths))
+
+
 def _tag(value: int | str) -> Column:
     return F.lit(value).cast("int" if isinstance(value, int) else "string")
 
