@@ -16,6 +16,8 @@ from snapfold.ml.features import (
     export_features,
     fit_features,
 )
+from snapfold.ml.moments import correlated_columns
+from snapfold.ml.sparse import vector_entries
 from snapfold.operators import frequency_index, hash_split, impute_median, with_fold
 from snapfold.schema import FeatureRoles
 
@@ -161,6 +163,64 @@ def exclude_columns(spark, sf_dir):
     )
 
 
+_CLOSE = 0.9
+_NAMES = ["quantity", "price", "noisy_quantity", "discount", "minus_discount", "half_quantity"]
+_CLOSE_SQL = f"""WITH RECURSIVE wide AS (
+    SELECT l_quantity AS quantity, l_extendedprice AS price, l_quantity + l_linenumber * 0.5 AS noisy_quantity, l_discount AS discount,
+           0.01 * (l_linenumber % 2) - l_discount AS minus_discount,
+           CASE WHEN l_linenumber % 2 = 0 THEN l_quantity * 3 + l_tax END AS half_quantity
+    FROM lineitem),
+  r AS (SELECT {', '.join(f"corr({a}, {b}) AS {a}__{b}" for i, a in enumerate(_NAMES) for b in _NAMES[i + 1 :])} FROM wide),
+  pairs AS ({' UNION ALL '.join(f"SELECT {i} AS a, {j} AS b, {a}__{b} AS r FROM r" for i, a in enumerate(_NAMES) for j, b in enumerate(_NAMES) if i < j)}),
+  close AS (SELECT a, b FROM pairs WHERE abs(r) >= {_CLOSE} UNION ALL SELECT b, a FROM pairs WHERE abs(r) >= {_CLOSE}),
+  steps(gone) AS (
+    SELECT CAST([] AS INTEGER[])
+    UNION ALL
+    SELECT list_append(gone, (
+      SELECT a FROM close WHERE NOT list_contains(gone, a) AND NOT list_contains(gone, b) GROUP BY a ORDER BY count(*) DESC, a DESC LIMIT 1))
+    FROM steps WHERE EXISTS (SELECT 1 FROM close WHERE NOT list_contains(gone, a) AND NOT list_contains(gone, b))),
+  last AS (SELECT gone FROM steps ORDER BY len(gone) DESC LIMIT 1)
+  SELECT CAST(n AS INTEGER) AS place, name, list_contains((SELECT gone FROM last), CAST(n AS INTEGER)) AS excluded
+  FROM (VALUES {', '.join(f"({i}, '{c}')" for i, c in enumerate(_NAMES))}) names(n, name)"""
+
+
+@query("exclude_correlated", _CLOSE_SQL)
+def exclude_correlated(spark, sf_dir):
+    """Which columns a greedy cover of the close pairs leaves out, from one pass; one column has gaps."""
+    items = table(spark, sf_dir, "lineitem").select(
+        F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"), (F.col("l_quantity") + F.col("l_linenumber") * 0.5).alias("noisy_quantity"),
+        F.col("l_discount").alias("discount"), (0.01 * (F.col("l_linenumber") % 2) - F.col("l_discount")).alias("minus_discount"),
+        F.when(F.col("l_linenumber") % 2 == 0, F.col("l_quantity") * 3 + F.col("l_tax")).alias("half_quantity"),
+    )
+    gone = correlated_columns(items, _NAMES, _CLOSE)
+    return spark.createDataFrame([(i, c, c in gone) for i, c in enumerate(_NAMES)], "place int, name string, excluded boolean")
+
+
+_BLOCKS_SQL = """WITH rows AS (SELECT l_orderkey, l_linenumber, l_quantity, CAST(l_partkey AS VARCHAR) AS part, CAST(l_orderkey AS VARCHAR) AS ord FROM lineitem),
+  total AS (SELECT CAST(count(*) AS DOUBLE) AS n, stddev_samp(l_quantity) AS quantity, stddev_samp(l_linenumber) AS line FROM rows),
+  parts AS (SELECT part, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, part) AS place FROM rows GROUP BY part),
+  orders_ AS (SELECT ord, count(*) AS n, (SELECT count(*) FROM parts) + row_number() OVER (ORDER BY count(*) DESC, ord) AS place FROM rows GROUP BY ord)
+  SELECT l_orderkey, l_linenumber, CAST(p.place AS INTEGER) AS part_at, CAST(o.place AS INTEGER) AS order_at,
+         CAST(1 + (SELECT count(*) FROM parts) + (SELECT count(*) FROM orders_) AS INTEGER) AS line_at,
+         round(l_quantity / t.quantity, 6) AS quantity_value, round(1 / sqrt(p.n * (t.n - p.n) / (t.n * (t.n - 1))), 6) AS part_value,
+         round(1 / sqrt(o.n * (t.n - o.n) / (t.n * (t.n - 1))), 6) AS order_value, round(l_linenumber / t.line, 6) AS line_value
+  FROM rows JOIN parts p USING (part) JOIN orders_ o USING (ord), total t"""
+
+
+@query("one_hot_large", _BLOCKS_SQL)
+def one_hot_large(spark, sf_dir):
+    """Scaled vectors with a block for each part and one for each order, whose categories stay in a table; their entries as columns."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.col("l_partkey").alias("part"), F.col("l_orderkey").alias("ord"), F.col("l_linenumber").alias("line"))
+    roles = FeatureRoles(continuous=["l_quantity"], nominal=["part", "ord"], ordinal=["line"])
+    vectors = fit_features(items, roles, split=None, max_categories=100).transform(items)
+    cells = vectors.select("l_orderkey", "l_linenumber", vector_entries("features").alias("e"))
+    names = ["quantity", "part", "order", "line"]
+    return cells.select(
+        "l_orderkey", "l_linenumber", *[F.col("e")[i]["at"].alias(f"{c}_at") for i, c in enumerate(names) if i],
+        *[F.round(F.col("e")[i]["value"], 6).alias(f"{c}_value") for i, c in enumerate(names)],
+    )
+
+
 @query("hash_split", f"SELECT o_orderkey, {split_sql('o_orderkey')} AS split FROM orders")
 def hash_split_query(spark, sf_dir):
     return hash_split(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])

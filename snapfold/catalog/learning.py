@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from snapfold.catalog.features import hash_sql, split_sql
 from snapfold.catalog.registry import query, table
 from snapfold.ml.evaluation import metric_report, r2, rmse
+from snapfold.ml.ridge import ridge_report
 from snapfold.ml.tuning import cross_validate, param_grid
 from snapfold.operators import hash_split, with_fold
 from snapfold.session import fresh_path
@@ -202,6 +203,38 @@ def param_grid_query(spark, sf_dir):
     return spark.createDataFrame(rows, "regParam double, slope double").withColumn("slope", F.round("slope", 6))
 
 
+_RIDGE3_SQL = f"""WITH rows AS (
+    SELECT CAST(p_partkey % 1000 AS DOUBLE) AS a, CAST(p_size AS DOUBLE) AS b, CAST(p_partkey * 7919 % 97 AS DOUBLE) AS c,
+           p_retailprice + 3 * p_size - p_partkey * 7919 % 97 + p_partkey * 31 % 53 AS y, CAST({hash_sql('p_partkey', 7)} % 4 AS INTEGER) AS fold FROM part),
+  folds AS (SELECT DISTINCT fold AS held FROM rows),
+  grid AS (SELECT * FROM (VALUES {', '.join(f'({r}::DOUBLE)' for r in _REG_PARAMS)}) t(reg)),
+  m AS (SELECT held, avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(y) AS my, stddev_pop(a) AS sa, stddev_pop(b) AS sb, stddev_pop(c) AS sc, stddev_pop(y) AS sy,
+               corr(a, b) AS ab, corr(a, c) AS ac, corr(b, c) AS bc, corr(a, y) AS ay, corr(b, y) AS by_, corr(c, y) AS cy
+        FROM rows, folds WHERE fold <> held GROUP BY held),
+  p AS (SELECT *, 1 + reg / sy AS d FROM m, grid),
+  det AS (SELECT *, d * (d * d - bc * bc) - ab * (ab * d - bc * ac) + ac * (ab * bc - d * ac) AS det FROM p),
+  fits AS (SELECT held, reg, ma, mb, mc, my,
+      (ay * (d * d - bc * bc) - ab * (by_ * d - bc * cy) + ac * (by_ * bc - d * cy)) / det * sy / sa AS wa,
+      (d * (by_ * d - bc * cy) - ay * (ab * d - bc * ac) + ac * (ab * cy - by_ * ac)) / det * sy / sb AS wb,
+      (d * (d * cy - by_ * bc) - ab * (ab * cy - by_ * ac) + ay * (ab * bc - d * ac)) / det * sy / sc AS wc FROM det)
+  SELECT held AS held_out, reg AS reg_param, round(wa, 6) AS wa, round(wb, 6) AS wb, round(wc, 6) AS wc, round(my - wa * ma - wb * mb - wc * mc, 5) AS intercept,
+         round(sqrt(avg((y - my - wa * (a - ma) - wb * (b - mb) - wc * (c - mc)) ** 2)), 6) AS rmse, count(*) AS n
+  FROM fits JOIN rows ON fold = held GROUP BY held, reg, wa, wb, wc, ma, mb, mc, my"""
+
+
+@query("ridge_one_scan", _RIDGE3_SQL)
+def ridge_one_scan(spark, sf_dir):
+    """Three features, four folds, three penalties: twelve fits and their errors from one scan, against the normal equations."""
+    key = F.col("p_partkey")
+    rows = with_fold(table(spark, sf_dir, "part"), ["p_partkey"]).select(
+        (key % 1000).alias("a"), F.col("p_size").alias("b"), (key * 7919 % 97).alias("c"),
+        (F.col("p_retailprice") + 3 * F.col("p_size") - key * 7919 % 97 + key * 31 % 53).alias("y"), "fold",
+    )
+    report = ridge_report(rows, ["a", "b", "c"], "y", _REG_PARAMS)
+    weights = [F.round(F.col("coefficients")[i], 6).alias(f"w{c}") for i, c in enumerate("abc")]
+    return report.select("held_out", "reg_param", *weights, F.round("intercept", 5).alias("intercept"), F.round("rmse", 6).alias("rmse"), "n")
+
+
 def _forest_rows(spark, sf_dir):
     parts = hash_split(table(spark, sf_dir, "part"), ["p_partkey"]).withColumn("k", F.col("p_partkey") % 1000)
     assembled = VectorAssembler(inputCols=["k", "p_size"], outputCol="features").transform(parts)
