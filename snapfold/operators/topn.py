@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -53,18 +54,25 @@ def top_per_group(
     order: Sequence[Column],
     n: int = 1,
     rank_name: str = "rank",
-    salts: int = 64,
+    rows_per_task: int = 1 << 20,
 ) -> DataFrame:
     """The first ``n`` rows of each group by ``order``, numbered from 1.
 
-    Spark cuts each task's rows to ``n`` per group before the shuffle (WindowGroupLimit) while ``n``
-    is under ``spark.sql.optimizer.windowGroupLimitThreshold``. For larger ``n`` a first round ranks
-    within salted sub-groups, so a hot group still reaches its last task cut to ``n`` rows per salt.
+    Spark cuts each task's rows to ``n`` per group before the shuffle (WindowGroupLimit) while ``n`` is not above
+    ``spark.sql.optimizer.windowGroupLimitThreshold``. For larger ``n`` the rows of a group are dealt by their hash to parts of about
+    ``rows_per_task``, as many as the table needs, each is cut to ``n``, and parts meet in a tree: no task gets more than some
+    ``rows_per_task``, or twice ``n``, rows of a group.
     """
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n >= limit:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-        within = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        df = salted.withColumn("_nth", F.row_number().over(within)).where(F.col("_nth") <= n).drop("_salt", "_nth")
+    if n > limit:
+        parts = math.ceil(df.count() / max(rows_per_task, 2 * n))
+        fan_in = max(2, rows_per_task // n)
+        plain = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+        df = df.withColumn("_part", F.pmod(F.xxhash64(*plain), F.lit(max(1, parts))))
+        while parts > 1:
+            within = Window.partitionBy(*keys, "_part").orderBy(*order)
+            df = df.withColumn("_nth", F.row_number().over(within)).where(F.col("_nth") <= n).drop("_nth")
+            df, parts = df.withColumn("_part", F.floor(F.col("_part") / fan_in)), math.ceil(parts / fan_in)
+        df = df.drop("_part")
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank_name, F.row_number().over(window)).where(F.col(rank_name) <= n)

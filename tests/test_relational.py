@@ -115,6 +115,15 @@ def test_top_per_group_beyond_the_window_limit(spark):
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
 
 
+def test_top_per_group_in_a_tree(spark):
+    """A group of most rows, cut in parts that meet in several rounds; map columns; the limit itself needs no parts."""
+    rows = spark.range(9000).select(F.when(F.col("id") % 9 == 0, F.col("id") % 4).otherwise(0).alias("k"), (F.col("id") * 7919 % 9001).alias("v"), F.create_map(F.lit("a"), "id").alias("m"))
+    found = top_per_group(rows, ["k"], [F.col("v").desc()], 1200, rows_per_task=300)
+    want = {(r.k, r.v, r.rank) for r in top_per_group(rows.drop("m"), ["k"], [F.col("v").desc()], 9000).where("rank <= 1200").collect()}
+    assert {(r.k, r.v, r.rank) for r in found.collect()} == want and len(want) == 1200 + 3 * 250
+    assert found._jdf.queryExecution().toString().count("Window") > top_per_group(rows, ["k"], [F.col("v").desc()], 1000)._jdf.queryExecution().toString().count("Window")
+
+
 def test_window_limit_runs_before_the_shuffle(snapshot):
     plan = most_popular_nationality(snapshot)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
