@@ -17,6 +17,18 @@ from snapfold.session import fresh_path
 CELL_ROWS = 4096
 
 
+#: Bytes of the batches in which rows go to Python, unless the session names a size of its own. Spark's own bound is 64 MB, which a task
+#: holds several times over: in the JVM, on the way, and as Python's objects.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Long texts in batches of few rows: the session's bound by bytes, where it has none of its own."""
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 class Scratch:
     """Tables written to the shared folder, so that a lost executor costs no more than one step.
 
@@ -25,6 +37,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.label, self.paths = spark, label, []
+        bounded_batches(spark)
 
     def save(self, df: DataFrame) -> DataFrame:
         path = fresh_path(self.spark, self.label)
@@ -46,6 +59,7 @@ def map_texts(df: DataFrame, function: Callable[..., list], added: str, keep_tex
     ``function`` takes the texts, then a list for each column that ``given`` names, and gives a list for each column that the
     DDL ``added`` names. Other columns pass through in Arrow as they are.
     """
+    bounded_batches(df.sparkSession)
     fields = [f for f in df.schema.fields if keep_text or f.name != "text"]
     names = [f.name for f in fields]
     new = StructType.fromDDL(added)
