@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapfold.llm.tables import running, uniform_key
+from snapfold.llm.tables import Scratch, running, uniform_key
 
 WEIGHTS = (3, 1, 2)
 WHITE = r"[\x20\x09-\x0D]+"
@@ -74,14 +74,49 @@ def mix(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
     return joined.withColumn("taken", F.col("epochs") * F.col("size") + F.col("part"))
 
 
-def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` as the mix has them: a row for each epoch, and one with the first words where a budget ends within a text."""
-    taken = mix(measured(docs), **settings)
-    copies = F.sequence(F.lit(1), (F.col("epochs") + F.when(F.col("part") > 0, 1).otherwise(0)).cast("int"))
-    rows = taken.where((F.col("epochs") > 0) | (F.col("part") > 0)).select("row", "size", "epochs", "part", F.explode(copies).alias("copy"))
-    cut = (F.col("copy") > F.col("epochs")) & (F.col("part") < F.col("size"))
+def cuts(taken: DataFrame, scratch: Scratch) -> DataFrame:
+    """(group, epochs, key, size, whole, part), one row a source, from what ``mix`` gives.
+
+    Beyond its epochs a source takes once more, whole, its rows up to the last (key, size); ``whole`` of the rows that have just these, and
+    ``part`` words of one more.
+    """
+    taken = scratch.save(taken.select("group", "key", "size", "epochs", "part"))
+    last = taken.groupBy("group").agg(F.max("epochs").alias("epochs"), F.max(F.when(F.col("part") > 0, F.struct("key", "size"))).alias("last"))
+    last = scratch.save(last.select("group", "epochs", "last.key", "last.size"))
+    there = taken.join(last.select("group", "key", "size"), ["group", "key", "size"], "left_semi")
+    words = there.groupBy("group").agg(F.sum("part").alias("words"))
+    whole = F.floor(F.col("words") / F.col("size")).cast("bigint")
+    return scratch.save(last.join(words, "group", "left").select("group", "epochs", "key", "size", whole.alias("whole"), (F.col("words") - whole * F.col("size")).alias("part")))
+
+
+def mixed(docs: DataFrame, scratch: Scratch | None = None, **settings) -> DataFrame:
+    """``docs`` as the mix has them: a row for each epoch, and one with the first words where a budget ends within a text.
+
+    The mix is computed on keys and sizes alone; its outcome is one line a source, by which every row of ``docs`` knows how often it is
+    taken. So no text is shuffled, but for the rows that agree with the last of a source, which are numbered.
+    """
+    scratch = scratch or Scratch(docs.sparkSession, "mix")
+    bounds = cuts(mix(scratch.save(measured(docs).drop("row")), **settings), scratch)
+    bounds = bounds.select(F.col("group").alias("_group"), "epochs", F.col("key").alias("cut"), "size", "whole", "part")
+    has_word = F.coalesce(F.col("row.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = measured(docs, F.lit(0)).select("row", "key", F.col("group").alias("_group")).join(bounds, "_group")
+    # Words are counted again only where a key is that of the last row.
+    rows = rows.withColumn("own", F.when(F.col("key") == F.col("cut"), n_words(F.col("row.text"))))
+    among_last = F.coalesce(F.col("own") == F.col("size"), F.lit(False))
+    before = (F.coalesce((F.col("key") < F.col("cut")) | (F.col("own") < F.col("size")), F.lit(False)) & has_word).cast("int")
+    times = lambda n: F.explode(F.when(n > 0, F.sequence(F.lit(1), n.cast("int")))).alias("copy")
+    plain = rows.where(~among_last).select("row", times(F.col("epochs") + before), F.lit(None).cast("bigint").alias("words"))
+    last = rows.where(among_last).withColumn("number", F.row_number().over(Window.partitionBy("_group").orderBy(F.xxhash64("row.text"))))
+    partly = (F.col("number") == F.col("whole") + 1) & (F.col("part") > 0)
+    last = last.select("*", times(F.col("epochs") + ((F.col("number") <= F.col("whole")) | partly).cast("int")))
+    return _written(plain.union(last.select("row", "copy", F.when(partly & (F.col("copy") > F.col("epochs")), F.col("part")))), docs)
+
+
+def _written(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from rows (row, copy, words), texts cut to so many words where ``words`` is given."""
+    cut = F.col("words").isNotNull()
     words = F.filter(F.split("row.text", WHITE), lambda w: w != "")
-    text = F.when(cut, F.array_join(F.slice(words, 1, F.col("part").cast("int")), " ")).otherwise(F.col("row.text"))
+    text = F.when(cut, F.array_join(F.slice(words, 1, F.col("words").cast("int")), " ")).otherwise(F.col("row.text"))
     columns = []
     for c in docs.columns:
         value = F.col(f"row.`{c}`")
