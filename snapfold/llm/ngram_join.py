@@ -5,16 +5,19 @@ shingles hash to it, so that two sketches differ in at most as many bits as thei
 the part that a hash falls in has as value the XOR of words drawn for its set bits. Sets of n and m shingles are linked
 (100 * intersection >= 75 * union) only if they differ in at most d = (n + m) / 7 shingles, and so in at most d parts.
 
-Bands hold sizes [2^i, 2^(i+1)). All sets of a band, and those of the band below that can link into it, use as many parts. Parts
-are ordered: more shingles first, then by number. A set of n emits the first n/3 + 1 + n/6 of its parts that hold something;
-of a linked pair's emitted parts at least t = (the smaller number) - d agree. A pair is a candidate if t of its parts agree.
-
-Emitted parts go to buckets as packed arrays. A bucket counts, for every pair, the parts it shares in groups of up to HOT sets. A
-larger group, which copies or a passage of many documents make, is not expanded; what a pack has of it beyond HOT + 1 sets, enough
-to know it by, does not go to its bucket at all. Instead its sets learn how many of
-their parts are hot: a set with few of them is "calm" and shares a cool part with each partner, so its hot parts may go.
-The others are compared with the set of each of their hot groups that has the most hot parts, and then, in tiles, with the sets of
-other components only, by their bit sketches first. So the components are those of all links.
+Bands hold sizes [2^i, 2^(i+1)). All sets of a band, and those of the band below that can link into it, use as many parts. A set of n
+emits the first n/3 + 1 + n/6 of its parts that hold something, in an order that is the same for all sets; of a linked pair's
+emitted parts at least t = (the smaller number) - d agree. A pair is a candidate if t of its parts agree. In that order parts known
+to be hot come last: those that many sets of a sample share, as copies and passages of many documents make them. So a set that has
+enough of its own emits nothing that is hot, however long a common passage it holds.
+
+Emitted parts go to buckets as packed arrays. A bucket counts, for every pair, the parts it shares in groups of up to HOT sets. Larger
+groups are not expanded: parts known to be hot do not go to buckets at all, and of one that turns out to be hot a bucket gets at most
+HOT + 1 sets from a pack, enough to know it by. Their sets learn how many of their emitted parts are hot: a set with few
+of them is "calm" and shares a cool part with each partner, so its hot parts may go. The others have almost nothing but hot parts:
+copies, or texts put together from common passages. Each is compared with the set of its hot groups that has the most hot parts, which joins
+copies to one component; then, in a group of several components, the sets outside the largest are compared with the others by their bit
+sketches, in tiles. So the components are those of all links.
 """
 
 from __future__ import annotations
@@ -24,16 +27,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapfold.llm.buffers import U, mix, pack, runs_of, shingle_sets
 from snapfold.llm.tables import Scratch, components, map_texts
 
 HOT, TILE = 64, 2048
+#: One of so many sets tells which parts are hot: those that SEEN sampled sets have, the HOT_KEYS most frequent ones, as bits of a table.
+SAMPLE, SEEN, HOT_KEYS, TABLE_BITS = 16, 4, 1 << 20, 25
 #: Bytes of text whose parts one bucket holds on average, and parts a task packs at a time, however long its texts are.
-BUCKET_BYTES, PACKED = 16 << 20, 1 << 20
+BUCKET_BYTES, PACKED = 8 << 20, 1 << 20
 #: Pairs of postings looked at, and pairs that wait to be counted, at a time.
 STEP, WAITING = 1 << 18, 1 << 20
 _SECOND, _POOR = 1, 2
@@ -55,8 +60,16 @@ def emitted(n: int | np.ndarray) -> int | np.ndarray:
     return n // 3 + 1 + n // 6
 
 
-def part_keys(shingles: np.ndarray, scheme: int) -> tuple[np.ndarray, bool]:
-    """The keys of the first parts of a set in a scheme; and whether the set has fewer parts than it should emit."""
+def hot_table(keys: np.ndarray) -> np.ndarray:
+    """A table of TABLE_BITS bits with those of ``keys`` set; a few others share a bit with one of them."""
+    bit = keys & U((1 << TABLE_BITS) - 1)
+    table = np.zeros(1 << TABLE_BITS - 3, np.uint8)
+    np.bitwise_or.at(table, (bit >> U(3)).astype(np.int64), (U(1) << (bit & U(7))).astype(np.uint8))
+    return table
+
+
+def all_parts(shingles: np.ndarray, scheme: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all parts of a set in a scheme that hold something, by number, and how many shingles each holds."""
     n, parts = len(shingles), max(128, 2 << scheme)
     part = (shingles % U(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
@@ -64,12 +77,25 @@ def part_keys(shingles: np.ndarray, scheme: int) -> tuple[np.ndarray, bool]:
     first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
     number, count = ranked[first], np.diff(np.append(first, n))
     value = np.bitwise_xor.reduceat(mix(shingles[order] ^ U(0x5BD1E9955BD1E995)), first)
-    chosen = np.argsort(-count, kind="stable")[: emitted(n)]
-    tag = number[chosen] + (count[chosen] << 36) + (scheme << 56)
-    keys = mix(value[chosen] ^ mix(tag.astype(U)))
-    if len(first) <= n // 3:  # so few parts that all which agree may be empty ones: such sets meet here
-        keys = np.append(keys, mix(np.array([scheme + 1], U)))
-    return keys, len(first) < emitted(n)
+    return mix(value ^ mix((number + (count << 36) + (scheme << 56)).astype(U))), count
+
+
+def part_keys(shingles: np.ndarray, scheme: int, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, bool]:
+    """The keys of the first parts of a set in a scheme; whether each is known as hot; whether the set has fewer than it should emit.
+
+    Order: cool parts before hot ones, more shingles first, then by number.
+    """
+    n = len(shingles)
+    keys, count = all_parts(shingles, scheme)
+    poor = len(keys) < emitted(n)
+    if len(keys) <= n // 3:  # so few parts that all which agree may be empty ones: such sets meet here
+        keys, count = np.append(keys, mix(np.array([scheme + 1], U))), np.append(count, n + 1)
+    hot = np.zeros(len(keys), bool)
+    if table is not None:
+        bit = keys & U((1 << TABLE_BITS) - 1)
+        hot = (table[(bit >> U(3)).astype(np.int64)] >> (bit & U(7)).astype(np.uint8) & 1).astype(bool)
+    chosen = np.lexsort((-count, hot))[: emitted(n)]
+    return keys[chosen], hot[chosen], poor
 
 
 def bit_sketch(shingles: np.ndarray) -> bytes:
@@ -92,34 +118,46 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * common >= 75 * (len(a) + len(b) - common)
 
 
-def document_sets(docs: DataFrame) -> DataFrame:
-    """``docs`` without its text, with n_shingles and set_id (null for documents without words)."""
+def document_sets(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """``docs`` without its text, with n_shingles, set_id (null for documents without words) and the parts of one set in ``sample``."""
 
     def sized(texts: list[str | None]) -> list:
         sets = list(shingle_sets(texts))
-        return [[len(s) for s in sets], [set_id(s) if len(s) else None for s in sets]]
+        names = [set_id(s) if len(s) else None for s in sets]
+        parts = [np.concatenate([all_parts(s, x)[0] for x in schemes(len(s))]).astype(np.int64) if n is not None and n % sample == 0 else None for s, n in zip(sets, names, strict=True)]
+        return [[len(s) for s in sets], names, parts]
+
+    return map_texts(docs, sized, "n_shingles bigint, set_id bigint, parts array<bigint>")
 
-    return map_texts(docs, sized, "n_shingles bigint, set_id bigint")
 
+def hot_parts(members: DataFrame) -> np.ndarray | None:
+    """The table of the parts that many sampled sets have; None if there are none. At most HOT_KEYS numbers reach the driver."""
+    sampled = members.where("parts is not null").select("set_id", "parts").dropDuplicates(["set_id"])
+    counts = sampled.select(F.explode("parts").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= SEEN)
+    keys = counts.orderBy(F.desc("n"), "key").limit(HOT_KEYS).select("key").toArrow().column("key").to_numpy()
+    return hot_table(keys.astype(U)) if len(keys) else None
 
-def _packed(docs: DataFrame, buckets: int) -> DataFrame:
+
+def _packed(docs: DataFrame, buckets: int, table: Broadcast | None = None) -> DataFrame:
     """(bucket, ids, info, owner, keys): the emitted parts of many sets, those of one bucket in one row.
 
-    A bucket gets at most HOT + 1 sets of a part from each pack. The others of a pack are a row with a negative number of its own as
-    bucket, whose keys are whole codes.
+    A bucket gets no part that is known to be hot, and at most HOT + 1 sets of any other from each pack. What else a pack has is a row with
+    a negative number of its own as bucket, whose keys are whole codes.
     """
 
-    def rows(held: dict[int, tuple[int, list[np.ndarray]]], number: int) -> Iterator[pd.DataFrame]:
+    def rows(held: dict[int, tuple[int, np.ndarray, np.ndarray]], number: int) -> Iterator[pd.DataFrame]:
         ids = np.array([i for i, _ in held], np.int64)
         info = np.array([v[0] for v in held.values()], np.uint32)
         owner = np.repeat(np.arange(len(held), dtype=np.uint32), [len(v[1]) for v in held.values()])
-        keys = np.concatenate([v[1] for v in held.values()])
+        keys, known = (np.concatenate([v[i] for v in held.values()]) for i in (1, 2))
         code = (keys >> U(32)) % U(buckets) << U(32) | keys & U(0xFFFFFFFF)
+        hot_code, hot_owner, code, owner = code[known], owner[known], code[~known], owner[~known]
         order = np.argsort(code, kind="stable")
         code, owner = code[order], owner[order]
-        new = np.concatenate([[True], (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])])
+        new = np.ones(len(code), bool)
+        new[1:] = (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])
         code, owner = code[new], owner[new]
-        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.empty(0, np.int64)
         place = np.arange(len(code)) - np.repeat(first, np.diff(np.append(first, len(code))))
         out = []
         c, o = code[place <= HOT], owner[place <= HOT]
@@ -127,15 +165,16 @@ def _packed(docs: DataFrame, buckets: int) -> DataFrame:
             used, own = np.unique(o[s], return_inverse=True)
             out.append((bucket, *pack(ids[used], info[used], own.astype(np.uint32), (c[s] & U(0xFFFFFFFF)).astype(np.uint32))))
         # The HOT + 1 sets of a group that its bucket gets make it hot there, so the rest need not be looked at again.
-        c, o = code[place > HOT], owner[place > HOT]
+        c, o = np.append(code[place > HOT], hot_code), np.append(owner[place > HOT], hot_owner)
         if len(c):
             used, own = np.unique(o, return_inverse=True)
             out.append((-1 - number, *pack(ids[used], info[used], own.astype(np.uint32), c)))
         yield pd.DataFrame(out, columns=["bucket", "ids", "info", "owner", "keys"])
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
+        held: dict[tuple[int, int], tuple[int, np.ndarray, np.ndarray]] = {}
         size, packs, task = 0, 0, TaskContext.get().partitionId()
+        known_hot = table.value if table is not None else None
         for batch in batches:
             for shingles in shingle_sets(batch["text"].tolist()):
                 if not len(shingles):
@@ -143,8 +182,8 @@ def _packed(docs: DataFrame, buckets: int) -> DataFrame:
                 name = set_id(shingles)
                 for second, scheme in enumerate(schemes(len(shingles))):
                     if (name, second) not in held:
-                        keys, poor = part_keys(shingles, scheme)
-                        held[name, second] = (len(shingles) << 2 | _POOR * poor | _SECOND * second, keys)
+                        keys, known, poor = part_keys(shingles, scheme, known_hot)
+                        held[name, second] = (len(shingles) << 2 | _POOR * poor | _SECOND * second, keys, known)
                         size += len(keys)
                 if size >= PACKED:
                     yield from rows(held, (task << 12 ^ packs) & 0x7FFFFFFF)
@@ -243,56 +282,73 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInPandas(check, "a bigint, b bigint")
 
 
-def _across(hot: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of sets that share a hot part, lie in different components and have sketches near enough."""
+def _across(hot: DataFrame, roots: DataFrame, sets: DataFrame, scratch: Scratch, tile: int = TILE) -> DataFrame:
+    """Pairs of sets that share a hot part, lie in different components and have sketches near enough.
+
+    Of each part's group the sets outside its largest component ("loose" ones) meet all others. A block is a tile of loose sets and one
+    of all; with few loose sets every other set is in one block alone.
+    """
     rooted = hot.join(roots, hot["a"] == roots["node"], "left").select("key", "a", F.coalesce("root", "a").alias("root"))
-    mixed = rooted.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    tiles = F.ceil(F.col("n") / TILE).cast("int")
-    dealt = rooted.join(mixed.select("key", tiles.alias("tiles")), "key").withColumn("own", F.pmod(F.xxhash64("a"), F.col("tiles")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = dealt.join(sets.select(F.col("set_id").alias("a"), "n_shingles", "sketch"), "a")
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "a", "root", "n_shingles", "sketch")
+    sizes = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
+    groups = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("largest"), F.count("*").alias("roots")).where("roots > 1")
+    tiles = lambda n: F.ceil(n / tile).cast("int")
+    groups = scratch.save(groups.select("key", F.col("largest.root").alias("core"), tiles(F.col("n")).alias("tiles"), tiles(F.col("n") - F.col("largest.n")).alias("loose_tiles")))
+    dealt = rooted.join(groups, "key").join(sets.select(F.col("set_id").alias("a"), "n_shingles", "sketch"), "a")
+    own = lambda n: F.pmod(F.xxhash64("a"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["key", "a", "root", "n_shingles", "sketch"]
+    left = dealt.where(F.col("root") != F.col("core")).select(*columns, F.lit(True).alias("loose"), own("loose_tiles").alias("i"), every("tiles").alias("j"))
+    right = dealt.select(*columns, F.lit(False).alias("loose"), every("loose_tiles").alias("i"), own("tiles").alias("j"))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("a").sort_values("n_shingles", kind="stable")
-        n, root, own = (frame[c].to_numpy() for c in ("n_shingles", "root", "own"))
-        names, tile = frame["a"].to_numpy(), frame["i"].iloc[0] != frame["j"].iloc[0]
+        frame = frame.sort_values("n_shingles", kind="stable")
         sketches = [np.frombuffer(x, U) for x in frame["sketch"]]
         width = min(map(len, sketches))
-        table = np.concatenate([fold(s[None], width) for s in sketches])
-        out = []
-        for x in range(len(n) - 1):
-            # Sizes ascend: the partners of x are the next ones up to 4/3 of its size.
-            end = np.searchsorted(n, n[x] * 4 // 3, "right")
-            y = np.arange(x + 1, end)
-            y = y[(root[y] != root[x]) & ((own[y] != own[x]) if tile else True)]
+        table, loose = np.concatenate([fold(s[None], width) for s in sketches]), frame["loose"].to_numpy(bool)
+        n, root, names = (frame[c].to_numpy() for c in ("n_shingles", "root", "a"))
+        others = np.flatnonzero(~loose)
+        sizes, out = n[others], [np.empty((2, 0), np.int64)]
+        for x in np.flatnonzero(loose):
+            # Sizes ascend: the partners of x have 3/4 to 4/3 of its size.
+            y = others[np.searchsorted(sizes, -(-3 * n[x] // 4), "left") : np.searchsorted(sizes, n[x] * 4 // 3, "right")]
+            y = y[root[y] != root[x]]
             if len(y):
                 apart = np.bitwise_count(table[y] ^ table[x]).sum(axis=1)
                 out.append(np.stack([np.full(len(y), x), y])[:, apart <= (n[x] + n[y]) // 7])
-        found = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
+        found = np.concatenate(out, axis=1)
         a, b = names[found[0]], names[found[1]]
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return dealt.groupBy("key", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
+    return left.union(right).groupBy("key", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
 
 
-def jaccard_components(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, set_id) of every row, and (set_id, root) of the sets that have a link, as written tables.
+def row_key(df: DataFrame) -> Column:
+    """A hash of all columns but maps: rows that agree in it are taken to be equal."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
 
-    Sets are known by 64 bits. A null text is empty; a document without words has no set and no link. Rows that repeat a
-    doc_id are documents of their own that share an id.
+
+def jaccard_components(docs: DataFrame, scratch: Scratch, sample: int = SAMPLE, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row, n_shingles, set_id) of every row, and (set_id, root) of the sets that have a link, as written tables.
+
+    ``row`` is the row's ``row_key``. Sets are known by 64 bits. A null text is empty; a document without words has no set and no
+    link. Rows that repeat a doc_id are documents of their own that share an id. Other columns may have any names.
     """
-    text = docs.select("doc_id", "text")
-    members = scratch.save(document_sets(text))
+    text = docs.select("doc_id", row_key(docs).alias("row"), "text")
+    members = scratch.save(document_sets(text, sample))
+    found = hot_parts(members)
+    table = docs.sparkSession.sparkContext.broadcast(found) if found is not None else None
+    members = members.drop("parts")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(6, math.ceil(total / BUCKET_BYTES))
-    grouped = _packed(docs, buckets).groupBy("bucket")
+    grouped = _packed(docs, buckets, table).groupBy("bucket")
     schema = "kind int, a bigint, b bigint, times bigint, need bigint, info bigint"
     found = scratch.save(grouped.applyInPandas(lambda key, frame: _agreeing(key[0], frame), schema))
+    if table is not None:
+        table.destroy()  # else every Python worker keeps it
 
     pairs = scratch.save(found.where("kind = 0").groupBy("a", "b").agg(F.sum("times").alias("times"), F.max("need").alias("need")))
     posts = scratch.save(found.where("kind = 1").select("a", F.col("b").alias("key"), "info").distinct())
-    parts = posts.groupBy("a", "info").agg(F.count("*").alias("parts")).groupBy("a").agg(F.max("parts").alias("parts"))
+    parts = scratch.save(posts.groupBy("a", "info").agg(F.count("*").alias("parts")).groupBy("a").agg(F.max("parts").alias("parts")))
     # A pair may also share hot parts, at most as many as either has.
     weak = pairs.where("times < need")
     for side in "ab":
@@ -300,14 +356,16 @@ def jaccard_components(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Da
     hot = _hot_postings(posts, scratch)
     size = F.floor(F.col("info") / 4)
     # Of the sets of a group the one with the most hot parts: what the others are copies of has all of them.
-    hubs = hot.groupBy("key").agg(F.min(F.struct((-F.col("parts")).alias("rank"), "a", size.alias("n"))).alias("hub"))
+    # Written, so that the join with a key of many sets is one of plain shuffles, which can be split.
+    hubs = scratch.save(hot.groupBy("key").agg(F.min(F.struct((-F.col("parts")).alias("rank"), "a", size.alias("n"))).alias("hub")))
     star = hot.join(hubs, "key").where((F.col("hub.a") != F.col("a")) & (F.least("hub.n", size) * 4 >= F.greatest("hub.n", size) * 3))
     star = star.select(F.col("hub.a").alias("x"), F.col("a").alias("y")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     pairs = scratch.save(pairs.where("times >= need").select("a", "b").union(weak.select("a", "b")).union(star).distinct())
 
     wanted = pairs.select("a").union(pairs.select("b")).union(hot.select("a")).distinct()
-    wanted = members.join(wanted, members["set_id"] == wanted["a"]).groupBy("set_id").agg(F.min("doc_id").alias("id"))
-    wanted = text.join(wanted, text["doc_id"].eqNullSafe(wanted["id"])).select("text", F.col("set_id").alias("wanted"))
+    # One row of each set by its key: rows of one id, or without an id, do not meet.
+    wanted = members.join(wanted, members["set_id"] == wanted["a"]).groupBy("set_id").agg(F.min("row").alias("row"))
+    wanted = text.join(wanted, "row").select("text", F.col("set_id").alias("wanted"))
 
     def full(texts: list[str | None]) -> list:
         sets = list(shingle_sets(texts))
@@ -318,15 +376,15 @@ def jaccard_components(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Da
     links = scratch.save(_verified(pairs, sets))
     roots = components(links, scratch)
     if not hot.isEmpty():
-        more = scratch.save(_verified(_across(hot, roots, sets), sets))
+        more = scratch.save(_verified(_across(hot, roots, sets, scratch, tile), sets))
         if not more.isEmpty():
             roots = components(links.union(more), scratch)
     return members, scratch.save(roots.select(F.col("node").alias("set_id"), "root"))
 
 
-def component_ids(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def component_ids(docs: DataFrame, scratch: Scratch, sample: int = SAMPLE, tile: int = TILE) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: the smallest doc_id that links reach, the own one without links."""
-    members, roots = jaccard_components(docs, scratch)
+    members, roots = jaccard_components(docs, scratch, sample, tile)
     rooted = members.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     least = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return rooted.join(least, "root", "left").select(
@@ -335,19 +393,23 @@ def component_ids(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the row of the smallest doc_id, then of the smallest text.
+    """The rows of ``docs`` without near copies: of each component the row of the smallest doc_id, then of the smallest ``row_key``.
 
-    Documents without words have no copies and all stay. A null doc_id comes after all others.
+    Documents without words have no copies and all stay. A null doc_id comes after all others; of equal rows one stays. The rows that stay
+    are found on ids and keys alone; then every row with words crosses one shuffle, to its key.
     """
     members, roots = jaccard_components(docs, scratch)
-    rooted = members.where("set_id is not null").join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set_id")).alias("first")
-    kept = scratch.save(rooted.groupBy("root").agg(first).select("first.doc_id", "first.set_id"))
-    named = document_sets(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), "text"))
-    # Rows without a set get a number of their own, so that they do not meet in one task.
-    named = named.withColumn("_key", F.coalesce("set_id", F.monotonically_increasing_id()))
-    kept = kept.select(F.col("set_id").alias("_key"), F.col("doc_id").alias("_kept"), F.lit(True).alias("_found"))
-    joined = named.join(kept, "_key", "left").where(F.col("set_id").isNull() | (F.col("_found") & F.col("_id").eqNullSafe(F.col("_kept"))))
-    # Rows that agree in set and id are one document.
-    rows = joined.groupBy("_key", F.col("set_id").isNull()).agg(F.min("_row").alias("_row"))
-    return rows.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+    worded = members.where("set_id is not null")
+    rooted = worded.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    stay = rooted.groupBy("root").agg(first).select(F.col("first.row").alias("_row"))
+    copies = worded.groupBy(F.col("row").alias("_row")).agg(F.count("*").alias("copies")).where("copies > 1")
+    stay = scratch.save(stay.join(copies, "_row", "left").select("_row", F.col("copies").isNotNull().alias("again")))
+    has_word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole"), row_key(docs).alias("_row"), has_word.alias("_worded"))
+    keyed = rows.where("_worded")
+    kept = rows.where("not _worded").select("_whole").union(keyed.join(stay.where("not again"), "_row", "left_semi").select("_whole"))
+    again = stay.where("again")
+    if not again.isEmpty():
+        kept = kept.union(keyed.join(again, "_row", "left_semi").dropDuplicates(["_row"]).select("_whole"))
+    return kept.select(*[F.col(f"_whole.`{c}`").alias(c) for c in docs.columns])
