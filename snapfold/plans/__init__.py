@@ -9,7 +9,7 @@ from snapfold.plans.analytics import (
     nationality_histogram,
     unique_histogram,
 )
-from snapfold.plans.ingest import clean_and_cast, ingest
+from snapfold.plans.ingest import clean_and_cast, ingest, ingest_new
 
 __all__ = [
     "clean_and_cast",
@@ -18,6 +18,7 @@ __all__ = [
     "filtered_top_n",
     "group_avg_top_n",
     "ingest",
+    "ingest_new",
     "mode_per_period",
     "most_popular_nationality",
     "nationality_bars",
