@@ -12,6 +12,9 @@ buckets by minimizer. A bucket holds about the same number of bytes at every siz
 and segments whose minimizer is found only in one document are left where they are. Copies of a segment in one part of the
 documents are settled there: all but the smallest document's are removed, and only that one travels.
 
+Within a bucket, strings of 50 bytes can only be equal in segments of one minimizer. A segment whose minimizer no other segment of
+other bytes has is told by its bytes alone; those that share a minimizer and differ, as at the edges of a passage, are sorted.
+
 A phrase of many documents is the minimizer of as many different segments. The segments of each minimizer are counted, and
 those of a hot one are taken apart: their strings go to buckets by their own hash, each at most once from a part of the
 documents, and need only be told equal there, not sorted. So a bucket has at most HOT_SHARE of its size from one minimizer.
@@ -116,6 +119,18 @@ def sort_columns(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return string, start, new
 
 
+def first_minimizers(strings: list[bytes]) -> np.ndarray:
+    """The minimizer of each segment: the least hash of the grams of its first SPAN bytes."""
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    starts = np.cumsum([0, *map(len, strings[:-1])])
+    total, inverse = prefix_hash(data), powers(len(data))[1]
+    out = np.empty(len(strings), U)
+    for s in range(0, len(strings), 1 << 14):
+        at = starts[s : s + (1 << 14), None] + np.arange(SPAN - GRAM + 1)
+        out[s : s + (1 << 14)] = mix((total[at + GRAM] - total[at]) * inverse[at]).min(axis=1)
+    return out
+
+
 def _found(blobs: list[bytes], lengths: np.ndarray, docs: np.ndarray, places: np.ndarray, rows: np.ndarray, parts: np.ndarray) -> np.ndarray:
     """(part, row, start, end) of the bytes of segments that a smaller document has, in one bucket."""
     text = b"".join(blobs)
@@ -126,7 +141,7 @@ def _found(blobs: list[bytes], lengths: np.ndarray, docs: np.ndarray, places: np
     np.minimum.at(least, which, docs)
     whole = docs > least[which]
     out = [np.stack([parts, rows, places, places + lengths])[:, whole]]
-    string, start, new = sort_columns(list(number))
+    string, start, new = _sorted_strings(list(number))
     if len(string):
         heads = np.flatnonzero(new)
         smallest = np.repeat(np.minimum.reduceat(least[string], heads), np.diff(np.append(heads, len(string))))
@@ -146,6 +161,16 @@ def _found(blobs: list[bytes], lengths: np.ndarray, docs: np.ndarray, places: np
     return np.concatenate(out, axis=1)
 
 
+def _sorted_strings(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``sort_columns`` of those strings whose minimizer others have too."""
+    if not strings:
+        return sort_columns(strings)
+    _, which, times = np.unique(first_minimizers(strings), return_inverse=True, return_counts=True)
+    some = np.flatnonzero(times[which] > 1)
+    string, start, new = sort_columns([strings[i] for i in some.tolist()])
+    return some[string], start, new
+
+
 def string_hashes(data: np.ndarray) -> np.ndarray:
     """The hash of every string of SPAN bytes."""
     total = prefix_hash(data)
@@ -180,11 +205,11 @@ def _code(minimizers: np.ndarray, buckets: int) -> np.ndarray:
 
 def _rows(frame: pd.DataFrame) -> pd.DataFrame:
     """A part's rows in an order that follows from their contents, so that a row's number is the same each time."""
-    return frame.sort_values(["id", "text"], kind="stable", ignore_index=True)
+    return frame.sort_values(["id", "none", "text"], kind="stable", ignore_index=True)
 
 
 def bucketed(docs: DataFrame, part_bytes: int = PART_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(id, text, part) of the documents, and the segments and strings that travel, by bucket.
+    """(id, none, text, part) of the documents, and the segments and strings that travel, by bucket.
 
     ``settled`` is 1 for what a smaller document of the same part is known to have, 2 for single strings of hot minimizers. The
     place of such a string is inverted where it starts in its row more than once.
@@ -193,7 +218,8 @@ def bucketed(docs: DataFrame, part_bytes: int = PART_BYTES) -> tuple[DataFrame,
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(6, math.ceil(size / part_bytes))
     part = F.pmod(F.xxhash64("doc_id", text_of()), F.lit(parts)).cast("int")
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("id"), text_of().alias("text"), part.alias("part"))
+    id_ = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST))
+    rows = docs.select(id_.alias("id"), F.col("doc_id").isNull().alias("none"), text_of().alias("text"), part.alias("part"))
 
     def minimizers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[np.ndarray, int, int, np.ndarray]] = []
@@ -335,8 +361,8 @@ def suffix_dedup(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
 
     A byte goes if it lies in a string of SPAN bytes that starts in a document with a smaller doc_id too, in the input as it
     is. ``removed`` are the maximal runs (start, end) that went, ``kept`` the bytes that are left, which may end within a
-    character. A null text is empty; texts under SPAN bytes lose nothing. A null doc_id is greater than all others. Rows
-    that repeat a doc_id are not smaller than each other. Other columns are ignored.
+    character. A null text is empty; texts under SPAN bytes lose nothing. A null doc_id is greater than all others (but on a par with
+    2^63 - 1). Rows that repeat a doc_id are not smaller than each other. Other columns are ignored.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows, cuts = bucketed(docs, part_bytes)
@@ -363,13 +389,13 @@ def suffix_dedup(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
 
     def remove(key: tuple, texts: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
         if not len(texts):
-            return pd.DataFrame([], columns=["doc_id", "n_bytes", "removed", "kept"])
+            return pd.DataFrame([], columns=["doc_id", "none", "n_bytes", "removed", "kept"])
         numbers, starts, ends = (np.concatenate([np.empty(0, np.int64), *(np.frombuffer(x, np.int64) for x in spans[c])]) for c in ("rows", "starts", "ends"))
         order = np.argsort(numbers, kind="stable")
         mine = dict(runs_of(numbers[order]))
         frame = _rows(texts)
         out = []
-        for row, (name, text) in enumerate(zip(frame["id"], frame["text"], strict=True)):
+        for row, (name, none, text) in enumerate(zip(frame["id"], frame["none"], frame["text"], strict=True)):
             data = text.encode()
             runs, kept = [], data
             if row in mine:
@@ -385,11 +411,11 @@ def suffix_dedup(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
                 edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
                 runs = [{"start": int(s), "end": int(e)} for s, e in zip(edges[::2], edges[1::2], strict=True)]
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-            out.append((name, len(data), runs, kept))
-        return pd.DataFrame(out, columns=["doc_id", "n_bytes", "removed", "kept"])
+            out.append((name, none, len(data), runs, kept))
+        return pd.DataFrame(out, columns=["doc_id", "none", "n_bytes", "removed", "kept"])
 
     spans = cuts.groupBy("bucket").applyInPandas(resolve, "part int, rows binary, starts binary, ends binary")
     result = rows.groupBy("part").cogroup(spans.groupBy("part")).applyInPandas(
-        remove, "doc_id bigint, n_bytes bigint, removed array<struct<start:bigint,end:bigint>>, kept binary"
+        remove, "doc_id bigint, none boolean, n_bytes bigint, removed array<struct<start:bigint,end:bigint>>, kept binary"
     )
-    return result.withColumn("doc_id", F.when(F.col("doc_id") != _LAST, F.col("doc_id")).cast(kind))
+    return result.select(F.when(~F.col("none"), F.col("doc_id")).cast(kind).alias("doc_id"), "n_bytes", "removed", "kept")
