@@ -2,25 +2,32 @@
 
 import hashlib
 import json
+import re
 
 import numpy as np
 import pytest
 from test_queries import brute_components, check_packing, without_repeats
 
+import corpus_pipeline
 from snapfold.llm.buffers import shingle_sets
 from snapfold.llm.license_scan import TEMPLATES, license_scan
 from snapfold.llm.lz_fingerprint import compare_neighbours, fingerprint, likeness
 from snapfold.llm.mixing import measured, mix, mixed
-from snapfold.llm.ngram_join import HOT, _packed, bit_sketch, component_ids, fold, one_of_each
+from snapfold.llm.ngram_join import HOT, _packed, bit_sketch, component_ids, document_sets, fold, hot_parts, one_of_each, part_keys, schemes
 from snapfold.llm.packing import WHITE_RUN, _ranks, best_fit, pack, plan
 from snapfold.llm.quality import FEATURES, fit_trees, score, train
 from snapfold.llm.queries import tokenizer_path
 from snapfold.llm.secret_scan import BASE, MORE, find, redact, secret_scan, trigram_query
 from snapfold.llm.sharding import shard
-from snapfold.llm.suffix_dedup import bucketed, sort_columns, suffix_dedup
+from snapfold.llm.suffix_dedup import bucketed, first_minimizers, segments, sort_columns, suffix_dedup
 from snapfold.llm.tables import Scratch, components
 from snapfold.llm.topk import exact_topk
 
+
+def words_list(text):
+    return [w for w in re.split(r"[\W_]+", text.lower()) if w]
+
+
 LONG = " ".join(f"w{i * 7919 % 5003}" for i in range(40_000))
 COPY = " ".join(f"c{i}" for i in range(200))
 SCHEMA = "doc_id bigint, text string, source string, score double, row string, size string, _cell int, label string"
@@ -58,6 +65,26 @@ def test_license(docs, nothing, spark):
         license_scan(docs, {"x": "too short"})
 
 
+def test_license_recall_of_changed_texts(spark):
+    """Every long template, planted with a tenth of its words changed in place: what the bands find against exact containment."""
+    order = np.random.default_rng(17)
+    rows, want = [], set()
+    known = {name: words_list(text) for name, text in TEMPLATES.items()}
+    grams = {name: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for name, w in known.items()}
+    for name, words in known.items():
+        for copy in range(12 if len(words) > 11 else 0):
+            changed = list(words)
+            for run in range(max(1, len(words) // 30)):  # words that are changed stand together, as in an edited passage
+                at = int(order.integers(0, len(words) - 2))
+                changed[at : at + 3] = [f"edit{copy}x{run}x{i}" for i in range(3)]
+            text = [f"a{int(x)}" for x in order.integers(0, 500, int(order.integers(0, 90)))] + changed + [f"z{int(x)}" for x in order.integers(0, 500, 50)]
+            rows.append((len(rows), " ".join(text)))
+            held = {tuple(text[i : i + 5]) for i in range(len(text) - 4)}
+            want |= {(len(rows) - 1, other) for other, g in grams.items() if len(g & held) * 4 >= len(g) * 3}
+    found = {(r.doc_id, r.license_id) for r in license_scan(spark.createDataFrame(rows, "doc_id int, text string").repartition(8)).collect()}
+    assert found <= want and len(want) > 100 and len(found) >= 0.99 * len(want), (len(found), len(want))
+
+
 def test_topk(spark):
     rows = [(0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0, 2.0]), (2, [1.0, 2.0]), (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (7, [1.0]), (None, [1.0, 1.0])]
     df = spark.createDataFrame(rows, "id bigint, v array<double>")
@@ -124,6 +151,20 @@ def test_hot_minimizer(spark):
     assert got == sorted((i, n, runs, sha) for i, n, _, runs, sha in expected)
 
 
+def test_the_greatest_id_is_not_null(spark):
+    last = 2**63 - 1
+    rows = [(1, COPY), (last, COPY), (None, COPY), (last, "own text " * 20)]
+    got = sorted(((r.doc_id, len(r.kept)) for r in suffix_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()), key=str)
+    assert got == sorted([(1, len(COPY)), (last, 0), (None, 0), (last, 180)], key=str)
+
+
+def test_minimizers_of_segments():
+    data = np.random.default_rng(5).integers(97, 100, 4000).astype(np.uint8)
+    least, starts, stops = segments(data)
+    strings = [data[s:e].tobytes() for s, e in zip(starts, stops, strict=True)]
+    assert (first_minimizers(strings) == least).all()
+
+
 def test_sort_columns():
     order = np.random.default_rng(3)
     strings = [bytes(order.integers(97, 99, int(order.integers(50, 82))).tolist()) for _ in range(40)]
@@ -162,6 +203,25 @@ def test_groups_stay_whole(spark, scratch):
     assert [k for k, v in groups.items() if len(v) < 8000 and len(set(v)) > 1] == []
 
 
+def test_cut_edges_fall(spark, scratch):
+    """Each round leaves fewer cut edges than the one before, and none where all groups fit; too little room leaves some."""
+    text = "case when id % 3 = 0 then concat('group ', id div 60) when id % 3 = 1 then concat('pair ', id div 6) else concat('text ', id) end as text"
+    docs, progress = spark.range(12_000).selectExpr("id as doc_id", text), []
+    rows = shard(docs, scratch, progress=progress).collect()
+    assert len(progress) >= 2 and progress == sorted(set(progress), reverse=True) and progress[0] > 4000 and progress[-1] == 0
+    assert {sum(r.shard == s for r in rows) for s in range(24)} == {500}
+    tight, progress = spark.range(96).selectExpr("id as doc_id", "concat('group ', id div 3) as text"), []
+    rows = shard(tight, scratch, progress=progress).collect()
+    assert progress == sorted(set(progress), reverse=True) and {sum(r.shard == s for r in rows) for s in range(24)} == {4}
+
+
+def test_shard_repeats_of_one_row(spark, scratch):
+    docs = spark.range(9000).selectExpr("if(id < 3000, 7, id) as doc_id", "if(id < 3000, 'same', concat('t', id)) as text")
+    rows = shard(docs, scratch).collect()
+    assert {sum(r.shard == s for r in rows) for s in range(24)} == {375} and sum(r.doc_id == 7 for r in rows) == 3000
+    assert all(sorted(r.slot for r in rows if r.shard == s) == list(range(375)) for s in range(24))
+
+
 def test_mix(docs, nothing, scratch):
     rows = mix(measured(docs)).collect()
     assert len(rows) == len(ROWS) and all(0 <= r.taken <= 2 * r["size"] for r in rows)
@@ -216,6 +276,79 @@ def test_large_families(spark, scratch):
     assert sorted(map(tuple, component_ids(docs, scratch).collect())) == brute_components([{"doc_id": i, "text": t} for i, t in rows])
 
 
+def families(seed=5):
+    """Copies, near copies, a passage of a third of the rows and copies across it, and texts put together from common passages."""
+    order = np.random.default_rng(seed)
+    passage, rows = [f"p{i}" for i in range(60)], []
+    for i in range(900):
+        own = [f"u{i}x{j}" for j in range(40 if i % 3 else 150)]
+        rows.append((i, own if i % 3 else own[:75] + passage + own[75:]))
+    for i in range(300):
+        near = list(rows[30][1])
+        for at in order.choice(len(near), int(order.integers(0, 6)), replace=False):
+            near[at] = f"e{i}x{at}"
+        rows.append((2000 + i, near))
+    blocks = [[f"b{k}y{j}" for j in range(30)] for k in range(6)]
+    for i in range(200):
+        rows.append((3000 + i, [w for k in order.permutation(6)[: 3 + i % 3] for w in blocks[k]]))
+    rows += [(4000 + i, rows[3 * i % 900][1]) for i in range(150)]
+    return [(i, " ".join(w)) for i, w in rows]
+
+
+@pytest.mark.parametrize(("sample", "tile"), [(1, 2048), (1, 16), (1 << 62, 16), (4, 50)])
+def test_hot_parts_last(spark, scratch, sample, tile):
+    rows = families()
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(6)
+    assert sorted(map(tuple, component_ids(docs, scratch, sample, tile).collect())) == brute_components([{"doc_id": i, "text": t} for i, t in rows])
+
+
+def test_common_passage_stays_cool(spark, scratch):
+    """Sets with enough words of their own emit next to no part of a passage that a third of all rows holds."""
+    rows = [r for r in families() if r[0] < 900]
+    members = scratch.save(document_sets(spark.createDataFrame(rows, "doc_id int, text string"), 1))
+    table, before, after = hot_parts(members), 0, 0
+    known = lambda keys: sum(int(table[k >> 3 & (len(table) - 1)]) >> (k & 7) & 1 for k in keys.tolist())
+    for shingles in shingle_sets([t for _, t in rows]):
+        for scheme in schemes(len(shingles)):
+            before += known(part_keys(shingles, scheme)[0])
+            after += int(part_keys(shingles, scheme, table)[1].sum())
+    assert before > 5000 and after < 0.03 * before, (before, after)
+
+
+def test_many_rows_of_one_id(spark, scratch):
+    """Rows without an id, or with one id, in linked pairs do not meet one another."""
+    text = "concat_ws(' ', transform(sequence(0, 59), x -> concat('w', id div 2, 'x', if(x = 7 and id % 2 = 1, 'other', cast(x as string))))) as text"
+    docs = spark.range(3000).selectExpr("if(id < 1500, null, if(id < 2900, 5, id)) as doc_id", text)
+    rows = component_ids(docs, scratch).collect()
+    assert len(rows) == 3000 and {r.component_id for r in rows if r.doc_id is None} == {None} and {r.component_id for r in rows if r.doc_id == 5} == {5}
+    assert sorted(r.component_id for r in rows if r.doc_id and r.doc_id > 5) == [i // 2 * 2 for i in range(2900, 3000)]
+    kept = one_of_each(docs, scratch).collect()
+    assert len(kept) == 1500 and sum(r.doc_id is None for r in kept) == 750
+
+
+def test_equal_rows_without_and_with_words(spark, scratch):
+    rows = [(1, "a b c d e f", {"k": 1}), (1, "a b c d e f", {"k": 1}), (1, "", {}), (1, "", {}), (None, None, None), (2, "a b c d e f", {}), (None, "x y", {}), (None, "x y", {}), (3, "x y", None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, _row map<string,int>")
+    kept = one_of_each(docs, scratch)
+    assert kept.columns == docs.columns and sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, ""), (1, ""), (1, ""), (1, "a b c d e f"), (3, "x y")]
+
+
+def test_mix_of_equal_rows(spark, scratch):
+    """A budget that ends among rows that agree in everything, and the copies that the mix has of every row."""
+    rows = [(1, "a b c", "s")] * 40 + [(i, " ".join(["w"] * (i % 7)), f"t{i % 4}" if i % 5 else None) for i in range(2, 300)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    want, taken = {}, mix(measured(docs)).collect()
+    for r in taken:
+        want[r.row.source] = want.get(r.row.source, 0) + r.taken
+    found, cut = {}, 0
+    for r in mixed(docs, scratch).collect():
+        found[r.source] = found.get(r.source, 0) + len(r.text.split())
+        cut += r.source == "s" and r.text != "a b c"
+    assert found == {s: n for s, n in want.items() if n} and cut <= 1
+    whole = sum(r.epochs + (r.part > 0) for r in taken)
+    assert mixed(docs, scratch).count() == whole
+
+
 def test_hot_parts_leave_their_bucket(spark):
     """Of a passage of many sets a bucket gets HOT + 1 postings of a part from a pack; the rest are rows of their own, and none is lost."""
     words = [f"p{i}" for i in range(40)]
@@ -290,3 +423,27 @@ def test_vocabularies_that_need_the_library(tmp_path):
         changed.write_text(json.dumps(spec), encoding="utf-8")
         place[key] = had
         assert _ranks(str(changed)) is None
+
+
+STAGE_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, _row string, row int, size string, label string, score double, `key` int"
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_pipeline_stages(spark, name):
+    """Null ids, texts and sources, empty and long texts, repeated rows, columns of the stages' own names; an empty table."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    rows = [(i, t, None, s, None if t is None else len(t), "r", 1, "s", "l", 0.5, 2) for i, t, s in ROWS]
+    docs, small = spark.createDataFrame(rows, STAGE_SCHEMA), "/root/testdata/sf0.001"
+    out, none = stage(spark, docs, small), stage(spark, docs.where("doc_id = -5"), small)
+    found = out.collect()
+    assert none.columns == out.columns and none.collect() == []
+    if name == "best-fit packing":
+        assert sum(r.start == 0 for r in found) == len(ROWS)
+        return
+    assert out.dtypes == docs.dtypes and all((r["_row"], r["row"], r["size"], r["label"], r["score"], r["key"]) == ("r", 1, "s", "l", 0.5, 2) for r in found)
+    if name == "n-gram jaccard join":
+        assert sorted(r.doc_id or 0 for r in found) == sorted([0, 1, 4, 5, 6, 7, 8, 9, 10, 2**60 + 1])
+    if name == "secret scans":
+        assert len(found) == len(ROWS) and {r.doc_id: (r.text, r.n_chars) for r in found}[8] == ("[secret]' [secret] [secret]", 27)
+    if name == "mixing sources to target weights":
+        assert {r.source for r in found} <= {"a", "b", "c", None} and all(r.n_chars == len(r.text) for r in found if r.text is not None)
