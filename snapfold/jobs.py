@@ -14,7 +14,7 @@ from snapfold.plans.analytics import (
     nationality_bars,
 )
 from snapfold.plans.ingest import ingest, ingest_to_database
-from snapfold.plans.neural import train_deep, train_shallow
+from snapfold.plans.neural import network_training_table, train_deep, train_shallow
 from snapfold.plans.regression import split_sizes, train_forest, train_linear, write_training_table
 from snapfold.schema import GENDER_TAG, YEAR_TAG
 from snapfold.session import drop_path, fresh_path
@@ -88,11 +88,16 @@ def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_train_mlp(spark: SparkSession, args: argparse.Namespace) -> None:
     path = _training_table(spark, args, fill={"league_name": "Unknown"})
-    for name, train in (("shallow", train_shallow), ("deep", train_deep)):
-        trained = train(spark, path, out=f"{args.out}/{name}")
-        print(name, trained.params)
-        trained.history.orderBy("config_id", "epoch").show()
-        trained.report.show()
+    shards = fresh_path(spark, "network-training")
+    try:
+        training = network_training_table(spark, path, shards)
+        for name, train in (("shallow", train_shallow), ("deep", train_deep)):
+            trained = train(spark, path, out=f"{args.out}/{name}", training=training)
+            print(name, trained.params)
+            trained.history.orderBy("config_id", "epoch").show()
+            trained.report.show()
+    finally:
+        drop_path(spark, shards)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -1,4 +1,13 @@
-from snapfold.sources.jdbc import JdbcConfig, ensure_schema, jdbc_append, jdbc_append_once, jdbc_overwrite, jdbc_scan
+from snapfold.sources.jdbc import (
+    JdbcConfig,
+    ensure_schema,
+    equi_depth_predicates,
+    jdbc_append,
+    jdbc_append_once,
+    jdbc_overwrite,
+    jdbc_scan,
+    jdbc_table,
+)
 from snapfold.sources.ledger import append_batch, read_batches
 from snapfold.sources.manifest import FileEntry, read_manifest, read_text_csv, snapshot_manifest
 from snapfold.sources.tables import (
@@ -17,11 +26,13 @@ __all__ = [
     "append_batch",
     "append_table",
     "ensure_schema",
+    "equi_depth_predicates",
     "footer_report",
     "jdbc_append",
     "jdbc_append_once",
     "jdbc_overwrite",
     "jdbc_scan",
+    "jdbc_table",
     "overwrite_table",
     "read_batches",
     "read_manifest",

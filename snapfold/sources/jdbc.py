@@ -6,6 +6,7 @@ import os
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -76,6 +77,53 @@ def jdbc_scan(
     )
 
 
+def equi_depth_query(table: str, column: str, parts: int) -> str:
+    """The greatest value of each of ``parts`` runs of about equal numbers of rows, in the order of ``column``."""
+    return (
+        f'(SELECT depth, max(edge) AS edge FROM (SELECT "{column}" AS edge, ntile({parts}) OVER (ORDER BY "{column}") AS depth '
+        f'FROM {table} WHERE "{column}" IS NOT NULL) ranked GROUP BY depth) edges'
+    )
+
+
+def equi_depth_predicates(spark: SparkSession, config: JdbcConfig, table: str, column: str, parts: int) -> list[str]:
+    """Conditions that divide a table's rows into at most ``parts`` of about equal size, whatever the values' distribution.
+
+    Ranges of equal width leave most rows to one task where values are uneven. Null rows are in the first part; a value that
+    fills several parts has one of its own. Pass the conditions to ``jdbc_scan``.
+    """
+    query = equi_depth_query(table, column, parts)
+    edges = [r["edge"] for r in spark.read.jdbc(config.url, query, properties=config.properties()).collect()]
+    return range_predicates(column, edges)
+
+
+def range_predicates(column: str, edges: Sequence) -> list[str]:
+    """One condition for each range up to an edge, the first with nulls, the last without an end; texts and dates are quoted."""
+    literal = lambda v: str(v) if isinstance(v, int | float | Decimal) else "'" + str(v).replace("'", "''") + "'"
+    cuts = [literal(v) for v in sorted(set(edges))[:-1]]
+    if not cuts:
+        return []
+    name = f'"{column}"'
+    middle = [f"{name} > {low} AND {name} <= {high}" for low, high in zip(cuts, cuts[1:], strict=False)]
+    return [f"{name} <= {cuts[0]} OR {name} IS NULL", *middle, f"{name} > {cuts[-1]}"]
+
+
+def _catalog(spark: SparkSession, config: JdbcConfig, catalog: str) -> None:
+    prefix = f"spark.sql.catalog.{catalog}"
+    spark.conf.set(prefix, "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
+    pushed = dict.fromkeys(("pushDownPredicate", "pushDownAggregate", "pushDownLimit", "pushDownOffset", "pushDownTableSample"), "true")
+    for key, value in {"url": config.url, **config.properties(), **pushed}.items():
+        spark.conf.set(f"{prefix}.{key}", value)
+
+
+def jdbc_table(spark: SparkSession, config: JdbcConfig, table: str, catalog: str = "snapfold_jdbc") -> DataFrame:
+    """A table (``schema.table``) of Spark's JDBC catalog: filters, aggregates, sorts with a limit and samples run in the database.
+
+    For questions whose answer is small; what is read row by row, ``jdbc_scan`` reads in parallel.
+    """
+    _catalog(spark, config, catalog)
+    return spark.table(".".join(f"`{part}`" for part in (catalog, *table.split("."))))
+
+
 def _write(df: DataFrame, config: JdbcConfig, table: str, mode: str, connections: int, batch: int, **options: str):
     properties = {**config.properties(), "batchsize": str(batch), "numPartitions": str(connections), **options}
     df.write.jdbc(config.url, table, mode=mode, properties=properties)
@@ -163,8 +211,5 @@ def jdbc_overwrite(
 
 def ensure_schema(spark: SparkSession, config: JdbcConfig, schema: str, catalog: str = "snapfold_jdbc") -> None:
     """Create a database schema if it is missing, through Spark's JDBC catalog."""
-    prefix = f"spark.sql.catalog.{catalog}"
-    spark.conf.set(prefix, "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
-    for key, value in {"url": config.url, **config.properties()}.items():
-        spark.conf.set(f"{prefix}.{key}", value)
+    _catalog(spark, config, catalog)
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS `{catalog}`.`{schema}`")

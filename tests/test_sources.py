@@ -1,5 +1,7 @@
+import datetime
 import importlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,9 +13,11 @@ from snapfold.sources import (
     JdbcConfig,
     append_table,
     ensure_schema,
+    equi_depth_predicates,
     jdbc_append,
     jdbc_overwrite,
     jdbc_scan,
+    jdbc_table,
     overwrite_table,
     read_manifest,
     read_table,
@@ -22,6 +26,7 @@ from snapfold.sources import (
     schema_report,
     snapshot_manifest,
 )
+from snapfold.sources.jdbc import equi_depth_query, range_predicates
 
 
 manifest = importlib.import_module("snapfold.sources.manifest")
@@ -213,3 +218,28 @@ def test_jdbc_writes_and_schema():
     spark = Recorder()
     ensure_schema(spark, CONFIG, "s")
     assert spark.calls[-1] == "CREATE NAMESPACE IF NOT EXISTS `snapfold_jdbc`.`s`"
+
+
+def test_equal_parts_of_an_uneven_column():
+    """The query and the conditions, run by an engine inside this process: each row in one part, no part much above its share."""
+    db = duckdb.connect()
+    db.execute("CREATE TABLE t AS SELECT CASE WHEN i % 50 = 0 THEN NULL WHEN i % 3 = 0 THEN 7 ELSE i * i END AS v FROM range(6000) r(i)")
+    edges = [r[1] for r in db.execute(f"SELECT depth, edge FROM {equi_depth_query('t', 'v', 12)}").fetchall()]
+    parts = [db.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in range_predicates("v", edges)]
+    assert sum(parts) == 6000 and len(parts) > 6 and sorted(parts)[-2] <= 700 and max(parts) < 2500
+    days = [datetime.date(2020, 1, 1), datetime.date(2021, 1, 1), datetime.date(2021, 1, 1), "it's"][:3]
+    assert range_predicates("d", days) == ["\"d\" <= '2020-01-01' OR \"d\" IS NULL", "\"d\" > '2020-01-01'"]
+    assert range_predicates("d", []) == [] == range_predicates("d", [1, 1]) and range_predicates("n", ["it's", "z"])[1] == "\"n\" > 'it''s'"
+    spark = Recorder()
+    spark.collect = lambda: [{"edge": 5}, {"edge": 9}]
+    assert equi_depth_predicates(spark, CONFIG, "s.t", "v", 2) == ['"v" <= 5 OR "v" IS NULL', '"v" > 5']
+    assert spark.calls[0][0][1].startswith("(SELECT depth, max(edge)")
+
+
+def test_a_table_of_the_catalog_pushes_its_work_down():
+    spark = Recorder()
+    spark.table = lambda name: name
+    assert jdbc_table(spark, CONFIG, "s.t") == "`snapfold_jdbc`.`s`.`t`"
+    settings = dict(spark.calls)
+    assert settings["spark.sql.catalog.snapfold_jdbc"].endswith("JDBCTableCatalog")
+    assert all(settings[f"spark.sql.catalog.snapfold_jdbc.{k}"] == "true" for k in ("pushDownPredicate", "pushDownAggregate", "pushDownLimit"))
