@@ -243,3 +243,19 @@ def test_a_table_of_the_catalog_pushes_its_work_down():
     settings = dict(spark.calls)
     assert settings["spark.sql.catalog.snapfold_jdbc"].endswith("JDBCTableCatalog")
     assert all(settings[f"spark.sql.catalog.snapfold_jdbc.{k}"] == "true" for k in ("pushDownPredicate", "pushDownAggregate", "pushDownLimit"))
+
+
+def test_a_write_by_tags_sorts_no_wide_rows(spark, tmp_path):
+    """Files of one tag each reach the table without a sort, which would hold or spill a task's full-width rows."""
+    from snapfold.sources.tables import overwrite_table, unsorted_writes
+
+    rows = spark.range(100).selectExpr("id", "cast(id % 3 as int) AS y").repartition(2)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    with unsorted_writes(spark):
+        assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 1
+        overwrite_table(rows, str(tmp_path / "t"), ["y"])  # tasks that meet several partitions lose nothing
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [(i, i % 3) for i in range(100)]
+    with pytest.raises(ZeroDivisionError), unsorted_writes(spark):
+        1 / 0
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
